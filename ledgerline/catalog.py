@@ -110,3 +110,144 @@ def q_ratio_features(spark, sf_dir):
 def q_next_day_target(spark, sf_dir):
     df = feature_panel(spark, sf_dir).df
     return df.select(*KEY, *r6("next_return"), F.col("target").cast("long").alias("target"))
+
+
+# ------------------------------------------------------------- preparation ---
+from ledgerline.operators import prepare as PR  # noqa: E402
+
+
+def prepared(spark: SparkSession, sf_dir: str) -> PR.Prepared:
+    """Panel -> features (with planted look-ahead columns) -> C2 preparation."""
+    return PR.prepare(feature_panel(spark, sf_dir, planted_lookahead=True), PR.TESTDATA_SPLIT)
+
+
+def modeling_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepared(spark, sf_dir).panel.public()
+
+
+ENGINEERED = list(FE.ENGINEERED_COLUMNS)
+
+
+@register(
+    "chronological_split",
+    "WITH" + O.PANEL + f'\nSELECT index_name, "Date", {O.split_case()} AS split FROM panel',
+)
+def q_chronological_split(spark, sf_dir):
+    panel = P.order_panel(spark, sf_dir, with_context=False)
+    return panel.df.select(*KEY, PR.assign_split(F.col("Date"), PR.TESTDATA_SPLIT).alias("split"))
+
+
+@register(
+    "ffill_lag",
+    O.with_prepared(
+        'SELECT index_name, "Date", split, CAST(bulk_discount AS FLOAT) AS bulk_discount, '
+        "round(return_1d, 6) AS return_1d, round(drawdown_60d, 6) AS drawdown_60d FROM lagged"
+    ),
+)
+def q_ffill_lag(spark, sf_dir):
+    lagged = prepared(spark, sf_dir).lagged
+    return lagged.select(*KEY, "split", *f32("bulk_discount"), *r6("return_1d", "drawdown_60d"))
+
+
+@register(
+    "impute_train_median",
+    O.with_prepared(
+        "SELECT feature, round(median, 6) AS median FROM (UNPIVOT med ON "
+        + ", ".join(O.MODEL_FEATURES)
+        + " INTO NAME feature VALUE median)"
+    ),
+)
+def q_impute_train_median(spark, sf_dir):
+    meds = prepared(spark, sf_dir).medians
+    rows = [(k, float(v) if v is not None else None) for k, v in meds.items()]
+    # The medians are a handful of scalars; rebuild them as a tiny DataFrame.
+    df = spark.createDataFrame(rows, "feature string, median double")
+    return df.select("feature", F.round("median", 6).alias("median"))
+
+
+@register(
+    "index_dummies",
+    O.with_prepared(
+        'SELECT index_name, "Date", ' + ", ".join(f"CAST({d} AS BIGINT) AS {d}" for d in O.DUMMIES) + " FROM dataset"
+    ),
+)
+def q_index_dummies(spark, sf_dir):
+    df = modeling_dataset(spark, sf_dir)
+    dummies = [c for c in df.columns if c.startswith("index_") and c != "index_name"]
+    return df.select(*KEY, *[F.col(d).cast("long").alias(d) for d in dummies])
+
+
+MODELING_SQL_COLUMNS = (
+    'index_name, "Date", "Name", CAST("Price" AS FLOAT) AS "Price", split, round(next_return, 6) AS next_return, '
+    "CAST(target AS BIGINT) AS target, CAST(bulk_discount AS FLOAT) AS bulk_discount, "
+    + sql_r(ENGINEERED)
+    + ", "
+    + ", ".join(f"CAST({d} AS BIGINT) AS {d}" for d in O.DUMMIES)
+)
+
+
+def modeling_projection(df: DataFrame) -> DataFrame:
+    dummies = [c for c in df.columns if c.startswith("index_") and c != "index_name"]
+    return df.select(
+        *KEY,
+        "Name",
+        *f32("Price"),
+        "split",
+        *r6("next_return"),
+        F.col("target").cast("long").alias("target"),
+        *f32("bulk_discount"),
+        *r6(*ENGINEERED),
+        *[F.col(d).cast("long").alias(d) for d in dummies],
+    )
+
+
+@register("modeling_dataset", O.with_prepared(f"SELECT {MODELING_SQL_COLUMNS} FROM dataset"))
+def q_modeling_dataset(spark, sf_dir):
+    return modeling_projection(modeling_dataset(spark, sf_dir))
+
+
+@register(
+    "split_summary",
+    O.with_prepared(
+        "SELECT split, CAST(count(*) AS BIGINT) AS rows, round(avg(target), 6) AS target_mean FROM dataset GROUP BY split"
+    ),
+)
+def q_split_summary(spark, sf_dir):
+    df = modeling_dataset(spark, sf_dir)
+    return df.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("target"), 6).alias("target_mean")
+    )
+
+
+@register(
+    "dataset_shape",
+    O.with_prepared(
+        f"SELECT CAST(count(*) AS BIGINT) AS rows, CAST({len(O.MODEL_FEATURES) + len(O.DUMMIES)} AS BIGINT) AS features FROM dataset"
+    ),
+)
+def q_dataset_shape(spark, sf_dir):
+    prep = prepared(spark, sf_dir)
+    return prep.panel.df.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(len(prep.features)).cast("long").alias("features")
+    )
+
+
+@register(
+    "null_audit",
+    O.with_prepared(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, (SELECT CAST(count(*) - count({c}) AS BIGINT) FROM lagged) AS nulls_lagged, "
+            f"(SELECT CAST(count(*) - count({c}) AS BIGINT) FROM dataset) AS nulls_final"
+            for c in O.MODEL_FEATURES
+        )
+    ),
+)
+def q_null_audit(spark, sf_dir):
+    prep = prepared(spark, sf_dir)
+    cols = [c for c in prep.features if c in prep.lagged.columns]
+
+    def null_counts(df: DataFrame, name: str) -> DataFrame:
+        wide = df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("long").alias(c) for c in cols])
+        return wide.unpivot([], cols, "feature", name)
+
+    return null_counts(prep.lagged, "nulls_lagged").join(null_counts(prep.panel.df, "nulls_final"), "feature")

@@ -71,7 +71,7 @@ def trailing_ema(
         w = F.when(F.col(S.ORD) == 0, F.lit(1.0)).otherwise(F.lit(alpha))
         term = F.when(F.col(S.OWN), w * F.col(x) * F.pow(F.lit(c), -k))
         local[span] = F.pow(F.lit(c), k) * F.sum(term).over(running)
-    df = df.withColumns({f"_L{span}": expr for span, expr in local.items()})
+    df = S.keep(df.withColumns({f"_L{span}": expr for span, expr in local.items()}))
 
     summary = (
         df.where(F.col(S.OWN))

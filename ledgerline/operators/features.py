@@ -95,4 +95,5 @@ def price_features(panel: Panel, planted_lookahead: bool = False, keep_extremes:
     extra = ["mom", "EMA_10"] if planted_lookahead else []
     if keep_extremes:
         extra += ["rolling_high_20d", "rolling_high_60d", "rolling_low_20d"]
-    return panel.with_df(df.select(*base, *extra, *ENGINEERED_COLUMNS, "next_return", "target"))
+    out = df.select(*base, *extra, *ENGINEERED_COLUMNS, "next_return", "target")
+    return panel.with_df(S.keep(out))

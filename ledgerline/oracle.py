@@ -106,3 +106,65 @@ feat AS (
 
 def with_features(body: str) -> str:
     return "WITH RECURSIVE" + FEATURES + "\n" + body
+
+
+ENGINEERED = (
+    [f"return_{h}d" for h in (1, 2, 5, 10, 20)]
+    + [f"volatility_{n}d" for n in (5, 10, 20)]
+    + [
+        "volatility_ratio_5d_20d",
+        "return_5d_to_volatility_20d",
+        "return_20d_to_volatility_20d",
+        "drawdown_20d",
+        "drawdown_60d",
+        "price_vs_20d_low",
+    ]
+    + [f"price_vs_trailing_ema_{s}" for s in EMA_SPANS]
+    + ["trailing_ema_10_vs_50", "trailing_ema_20_vs_200"]
+)
+MODEL_FEATURES = ["bulk_discount", *ENGINEERED]
+LEVELS = ("F", "O", "P")
+DUMMIES = [f"index_{v}" for v in LEVELS]
+TRAIN_END, VALIDATION_END = "1998-12-31", "1999-12-31"
+
+
+def split_case(col: str = '"Date"') -> str:
+    return (
+        f"CASE WHEN {col} <= DATE '{TRAIN_END}' THEN 'train' "
+        f"WHEN {col} <= DATE '{VALIDATION_END}' THEN 'validation' ELSE 'test' END"
+    )
+
+
+PREPARED = (
+    FEATURES
+    + """,
+lagged AS (
+  SELECT index_name, "Date", "Name", "Price", t, next_return, target, """
+    + split_case()
+    + """ AS split,
+    """
+    + ",\n    ".join(f"last_value({c} IGNORE NULLS) OVER wl AS {c}" for c in MODEL_FEATURES)
+    + """
+  FROM feat
+  WINDOW wl AS (PARTITION BY index_name ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+kept AS MATERIALIZED (
+  SELECT * FROM lagged WHERE return_20d IS NOT NULL AND volatility_20d IS NOT NULL AND drawdown_60d IS NOT NULL),
+med AS (
+  SELECT """
+    + ", ".join(f"median({c}) AS {c}" for c in MODEL_FEATURES)
+    + """ FROM kept WHERE split = 'train'),
+filled AS (
+  SELECT k.index_name, k."Date", k."Name", k."Price", k.t, k.next_return, k.target, k.split,
+    """
+    + ",\n    ".join(f"coalesce(k.{c}, m.{c}, CAST(0 AS DOUBLE)) AS {c}" for c in MODEL_FEATURES)
+    + """,
+    """
+    + ", ".join(f"CASE WHEN k.index_name = '{v}' THEN 1 ELSE 0 END AS index_{v}" for v in LEVELS)
+    + """
+  FROM kept k CROSS JOIN med m),
+dataset AS MATERIALIZED (SELECT * FROM filled WHERE next_return IS NOT NULL)"""
+)
+
+
+def with_prepared(body: str) -> str:
+    return "WITH RECURSIVE" + PREPARED + "\n" + body

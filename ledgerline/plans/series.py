@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
@@ -45,6 +46,15 @@ FOLD_SPAN = 64
 Combine = Callable[[Column, Column], Column]
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a frame that feeds two branches of a plan (memory, spilling to disk).
+
+    Lost blocks are recomputed from lineage, so this is safe under executor
+    loss; it only avoids evaluating the same windows twice.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def tick(col: Column, dtype) -> Column:
     """Integer clock of a time column: days for dates, seconds for timestamps."""
     if isinstance(dtype, DateType):
@@ -151,7 +161,7 @@ def with_ordinal(
     width = bucket_ticks or default_bucket_ticks(dtype, block_rows)
     # The input is usually an aggregate; keep it so the count branch, the
     # size probe and the numbering pass read it once.
-    rows = df.withColumn("_tb", F.floor(tick(F.col(time_col), dtype) / F.lit(width))).persist()
+    rows = keep(df.withColumn("_tb", F.floor(tick(F.col(time_col), dtype) / F.lit(width))))
     counts = rows.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_n"))
     ranges = counts.groupBy(*keys).agg(
         F.min("_tb").alias("_lo"), F.max("_tb").alias("_hi"), F.sum("_n").alias("_len")
