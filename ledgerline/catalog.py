@@ -116,9 +116,19 @@ def q_next_day_target(spark, sf_dir):
 from ledgerline.operators import prepare as PR  # noqa: E402
 
 
+_PREPARED: dict[tuple[str, str], PR.Prepared] = {}
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> PR.Prepared:
-    """Panel -> features (with planted look-ahead columns) -> C2 preparation."""
-    return PR.prepare(feature_panel(spark, sf_dir, planted_lookahead=True), PR.TESTDATA_SPLIT)
+    """Panel -> features (with planted look-ahead columns) -> C2 preparation.
+
+    The result is checkpointed, so it is built once per application and scale
+    directory and shared by every query that starts from the modeling dataset.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PREPARED:
+        _PREPARED[key] = PR.prepare(feature_panel(spark, sf_dir, planted_lookahead=True), PR.TESTDATA_SPLIT)
+    return _PREPARED[key]
 
 
 def modeling_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,3 +261,162 @@ def q_null_audit(spark, sf_dir):
         return wide.unpivot([], cols, "feature", name)
 
     return null_counts(prep.lagged, "nulls_lagged").join(null_counts(prep.panel.df, "nulls_final"), "feature")
+
+
+# ---------------------------------------------------------------- backtest ---
+from ledgerline.operators import backtest as BT  # noqa: E402
+
+RUN = ["strategy_key", "split"]
+SCORE_MODEL = "score"
+SCORE_STRATEGY = "score_long_cash"
+
+
+def score_predictions(dataset: DataFrame, splits=("validation", "test")) -> DataFrame:
+    """C4: deterministic scores from the lagged one-day return (A3 prediction frame)."""
+    p_up = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-40.0) * F.col("return_1d")))
+    return dataset.where(F.col("split").isin(list(splits))).select(
+        "index_name", "Date", "split", "next_return", p_up.alias("p_up")
+    )
+
+
+def rule_frames(spark, sf_dir) -> DataFrame:
+    return BT.rule_strategy_frames(modeling_dataset(spark, sf_dir))
+
+
+def rule_curves(spark, sf_dir) -> DataFrame:
+    return BT.portfolio_daily_returns(rule_frames(spark, sf_dir), RUN)
+
+
+METRICS = list(BT.METRIC_COLUMNS)
+NET_METRICS = list(BT.NET_METRIC_COLUMNS)
+CURVE_COLUMNS = ["strategy_return", "gross_strategy_return", "exposure", "turnover", "equity", "gross_equity", "drawdown"]
+
+
+@register(
+    "long_cash_frame",
+    O.with_prepared(
+        ","
+        + O.PREDS
+        + "\nSELECT split, index_name, \"Date\", round(p_up, 6) AS p_up, CAST(signal AS BIGINT) AS signal, "
+        "CAST(trade AS BIGINT) AS trade, round(gross_strategy_return, 6) AS gross_strategy_return, "
+        "round(strategy_return, 6) AS strategy_return FROM "
+        + O.trades_sql(f"(SELECT *, CASE WHEN p_up >= {O.dbl(0.55)} THEN 1 ELSE 0 END AS signal FROM preds)", "split", O.dbl(O.COST))
+    ).replace("\n,\npreds", ",\npreds"),
+)
+def q_long_cash_frame(spark, sf_dir):
+    preds = score_predictions(modeling_dataset(spark, sf_dir))
+    frame = BT.long_cash_frame(preds, 0.55, BT.COST_PER_TRADE, run_keys=["split"])
+    return frame.select(
+        "split", *KEY, *r6("p_up"),
+        F.col("signal").cast("long").alias("signal"), F.col("trade").cast("long").alias("trade"),
+        *r6("gross_strategy_return", "strategy_return"),
+    )
+
+
+@register(
+    "rule_baselines",
+    O.with_prepared(
+        "," + O.RULE_ROWS + "\nSELECT strategy_key, split, index_name, \"Date\", CAST(signal AS BIGINT) AS signal, "
+        "CAST(trade AS BIGINT) AS trade, round(gross_strategy_return, 6) AS gross_strategy_return, "
+        "round(strategy_return, 6) AS strategy_return FROM rule_frame"
+    ),
+)
+def q_rule_baselines(spark, sf_dir):
+    return rule_frames(spark, sf_dir).select(
+        *RUN, *KEY,
+        F.col("signal").cast("long").alias("signal"), F.col("trade").cast("long").alias("trade"),
+        *r6("gross_strategy_return", "strategy_return"),
+    )
+
+
+@register(
+    "portfolio_curve",
+    O.with_prepared("," + O.RULE_ROWS + f"\nSELECT strategy_key, split, \"Date\", {sql_r(CURVE_COLUMNS)} FROM rule_curve"),
+)
+def q_portfolio_curve(spark, sf_dir):
+    return rule_curves(spark, sf_dir).select(*RUN, "Date", *r6(*CURVE_COLUMNS))
+
+
+def backtest_metrics(spark, sf_dir) -> DataFrame:
+    """C5 + C6 (deterministic score as the model): the strategy metrics table."""
+    ds = modeling_dataset(spark, sf_dir)
+    curve = BT.portfolio_daily_returns(BT.rule_strategy_frames(ds), RUN)
+    rules = BT.strategy_metrics(curve, RUN).select(
+        "strategy_key", F.col("strategy_key").alias("model_key"), "split",
+        F.lit(None).cast("double").alias("threshold"), F.lit(BT.COST_PER_TRADE).alias("cost_per_trade"), *METRICS,
+    )
+    preds = score_predictions(ds)
+    chosen = BT.choose_threshold(preds.where(F.col("split") == "validation"), run_keys=["split"]).where("selected")
+    validation = chosen.select(
+        F.lit(SCORE_STRATEGY).alias("strategy_key"), F.lit(SCORE_MODEL).alias("model_key"),
+        F.lit("validation_threshold_selection").alias("split"), "threshold", "cost_per_trade", *METRICS,
+    )
+    test_sweep = BT.sweep_metrics(preds.where(F.col("split") == "test"), BT.THRESHOLDS, [BT.COST_PER_TRADE], ["split"])
+    test = test_sweep.join(chosen.select("threshold"), "threshold", "left_semi").select(
+        F.lit(SCORE_STRATEGY).alias("strategy_key"), F.lit(SCORE_MODEL).alias("model_key"),
+        "split", "threshold", "cost_per_trade", *METRICS,
+    )
+    return rules.unionByName(validation).unionByName(test)
+
+
+METRICS_SQL_OUT = "threshold, cost_per_trade, " + sql_r(METRICS)
+
+
+@register(
+    "strategy_metrics",
+    O.with_prepared(
+        "," + O.RULE_ROWS + "," + O.SCORE_SWEEP + f"""
+SELECT strategy_key, strategy_key AS model_key, split, CAST(NULL AS DOUBLE) AS threshold, {O.dbl(O.COST)} AS cost_per_trade, {sql_r(METRICS)} FROM rule_metrics
+UNION ALL
+SELECT '{SCORE_STRATEGY}', '{SCORE_MODEL}', 'validation_threshold_selection', threshold, {O.dbl(O.COST)}, {sql_r(METRICS)} FROM sw_sel WHERE split = 'validation' AND selected
+UNION ALL
+SELECT '{SCORE_STRATEGY}', '{SCORE_MODEL}', 'test', threshold, {O.dbl(O.COST)}, {sql_r(METRICS)} FROM sw_sel
+WHERE split = 'test' AND threshold = (SELECT threshold FROM sw_sel WHERE split = 'validation' AND selected)"""
+    ),
+)
+def q_strategy_metrics(spark, sf_dir):
+    m = backtest_metrics(spark, sf_dir)
+    return m.select("strategy_key", "model_key", "split", "threshold", "cost_per_trade", *r6(*METRICS))
+
+
+@register(
+    "choose_threshold",
+    O.with_prepared(
+        "," + O.SCORE_SWEEP + "\nSELECT split, threshold, round(exposure, 6) AS exposure, round(sharpe_ratio, 6) AS sharpe_ratio, "
+        "round(total_return, 6) AS total_return, eligible, selected FROM sw_sel WHERE split = 'validation'"
+    ),
+)
+def q_choose_threshold(spark, sf_dir):
+    preds = score_predictions(modeling_dataset(spark, sf_dir), ("validation",))
+    sel = BT.choose_threshold(preds, run_keys=["split"])
+    return sel.select("split", "threshold", *r6("exposure", "sharpe_ratio", "total_return"), "eligible", "selected")
+
+
+WHAT_IF_SQL = (
+    ","
+    + O.PREDS
+    + f""",
+wgrid AS (SELECT * FROM (VALUES {O.grid_values(BT.WHAT_IF_THRESHOLDS)}) g(pos, threshold)),
+costs AS (SELECT * FROM (VALUES {", ".join(f"({O.dbl(c)})" for c in BT.WHAT_IF_COSTS_BPS)}) c(cost_bps)),
+wi_rows AS (
+  SELECT p.*, g.pos, g.threshold, CASE WHEN p.p_up >= g.threshold THEN 1 ELSE 0 END AS signal
+  FROM preds p CROSS JOIN wgrid g WHERE p.split = 'test'),
+wi_frame AS {O.trades_sql("wi_rows", "pos, threshold", O.dbl(0))},
+wi_daily AS (
+  SELECT d.pos, d.threshold, c.cost_bps, d."Date",
+    d.gross_strategy_return - c.cost_bps / {O.dbl(10000)} * d.turnover AS strategy_return,
+    d.gross_strategy_return, d.exposure, d.turnover
+  FROM {O.daily_sql("wi_frame", "pos, threshold")} d CROSS JOIN costs c),
+wi_curve AS MATERIALIZED {O.curve_sql("wi_daily", "pos, threshold, cost_bps")},
+wi_metrics AS {O.metrics_sql("wi_curve", "pos, threshold, cost_bps", gross=False)}
+SELECT threshold, round(cost_bps, 2) AS cost_bps, {sql_r(NET_METRICS)} FROM wi_metrics"""
+)
+
+
+@register("what_if_sweep", O.with_prepared(WHAT_IF_SQL))
+def q_what_if_sweep(spark, sf_dir):
+    """Every (threshold, cost) of the dashboard grid on the test split."""
+    preds = score_predictions(modeling_dataset(spark, sf_dir), ("test",))
+    costs = [bps / 10_000 for bps in BT.WHAT_IF_COSTS_BPS]
+    m = BT.sweep_metrics(preds, BT.WHAT_IF_THRESHOLDS, costs, gross=False)
+    return m.select("threshold", F.round(F.col("cost_per_trade") * 10_000, 2).alias("cost_bps"), *r6(*NET_METRICS))

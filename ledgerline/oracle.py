@@ -168,3 +168,117 @@ dataset AS MATERIALIZED (SELECT * FROM filled WHERE next_return IS NOT NULL)"""
 
 def with_prepared(body: str) -> str:
     return "WITH RECURSIVE" + PREPARED + "\n" + body
+
+
+# ---------------------------------------------------------------- backtest ---
+COST = 0.0001
+THRESHOLDS = (0.50, 0.52, 0.55, 0.57, 0.60)
+RULES = ("buy_and_hold", "cash", "previous_day_direction", "price_above_trailing_ema_20", "positive_20d_momentum")
+SQRT_YEAR = 252 ** 0.5
+
+
+def score_sql() -> str:
+    return f"{dbl(1)} / ({dbl(1)} + exp({dbl(-40)} * return_1d))"
+
+
+PREDS = f"""
+preds AS (
+  SELECT index_name, "Date", split, next_return, {score_sql()} AS p_up
+  FROM dataset WHERE split IN ('validation', 'test'))"""
+
+
+def trades_sql(source: str, keys: str, cost: str) -> str:
+    """Row frame with trade, gross and net returns from a source with ``signal``."""
+    return f"""(
+  SELECT *, signal * next_return AS gross_strategy_return,
+    signal * next_return - {cost} * trade AS strategy_return
+  FROM (SELECT *, coalesce(abs(signal - lag(signal) OVER (PARTITION BY {keys}, index_name ORDER BY "Date")), signal) AS trade
+        FROM {source}))"""
+
+
+def daily_sql(source: str, keys: str) -> str:
+    return f"""(
+  SELECT {keys}, "Date", avg(strategy_return) AS strategy_return, avg(gross_strategy_return) AS gross_strategy_return,
+    avg(signal) AS exposure, avg(trade) AS turnover
+  FROM {source} GROUP BY {keys}, "Date")"""
+
+
+def curve_sql(source: str, keys: str) -> str:
+    run = f'PARTITION BY {keys} ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW'
+    return f"""(
+  SELECT *, equity / NULLIF(max(equity) OVER ({run}), 0) - 1 AS drawdown
+  FROM (SELECT *, product(1 + strategy_return) OVER ({run}) AS equity,
+          product(1 + gross_strategy_return) OVER ({run}) AS gross_equity
+        FROM {source}))"""
+
+
+def guard(num: str, den: str) -> str:
+    return f"CASE WHEN {den} IS NULL OR {den} = 0 THEN {dbl(0)} ELSE {num} / {den} END"
+
+
+def metrics_sql(source: str, keys: str, gross: bool = True) -> str:
+    g = (
+        """,
+    arg_max(gross_equity, "Date") - 1 AS gross_total_return,
+    avg(gross_strategy_return) * 252 AS gross_annualized_return,
+    stddev_samp(gross_strategy_return) * """
+        + dbl(SQRT_YEAR)
+        + " AS gross_vol"
+        if gross
+        else ""
+    )
+    inner = f"""(
+  SELECT {keys}, CAST(count(*) AS DOUBLE) AS days,
+    arg_max(equity, "Date") - 1 AS total_return,
+    avg(strategy_return) * 252 AS annualized_return,
+    stddev_samp(strategy_return) * {dbl(SQRT_YEAR)} AS annualized_volatility,
+    min(drawdown) AS max_drawdown,
+    avg(CASE WHEN strategy_return > 0 THEN {dbl(1)} ELSE {dbl(0)} END) AS win_rate,
+    avg(exposure) AS exposure, avg(turnover) AS turnover{g}
+  FROM {source} GROUP BY {keys})"""
+    gross_cols = (
+        f", gross_total_return, gross_annualized_return, {guard('gross_annualized_return', 'gross_vol')} AS gross_sharpe_ratio"
+        if gross
+        else ""
+    )
+    return f"""(
+  SELECT {keys}, days, total_return, annualized_return, annualized_volatility,
+    {guard('annualized_return', 'annualized_volatility')} AS sharpe_ratio,
+    max_drawdown, win_rate, exposure, turnover{gross_cols}
+  FROM {inner})"""
+
+
+RULE_ROWS = f"""
+rule_rows AS (
+  SELECT d."Date", d.index_name, d.split, d.next_return, k.strategy_key,
+    CASE k.strategy_key WHEN 'buy_and_hold' THEN 1 WHEN 'cash' THEN 0
+      WHEN 'previous_day_direction' THEN CASE WHEN d.return_1d > 0 THEN 1 ELSE 0 END
+      WHEN 'price_above_trailing_ema_20' THEN CASE WHEN d.price_vs_trailing_ema_20 > 0 THEN 1 ELSE 0 END
+      ELSE CASE WHEN d.return_20d > 0 THEN 1 ELSE 0 END END AS signal
+  FROM dataset d CROSS JOIN (VALUES {", ".join(f"('{r}')" for r in RULES)}) k(strategy_key)
+  WHERE d.split IN ('validation', 'test')),
+rule_frame AS MATERIALIZED {trades_sql("rule_rows", "strategy_key, split", dbl(COST))},
+rule_curve AS MATERIALIZED {curve_sql(daily_sql("rule_frame", "strategy_key, split"), "strategy_key, split")},
+rule_metrics AS {metrics_sql("rule_curve", "strategy_key, split")}"""
+
+
+def grid_values(thresholds) -> str:
+    return ", ".join(f"({i}, {dbl(t)})" for i, t in enumerate(thresholds))
+
+
+SCORE_SWEEP = (
+    PREDS
+    + f""",
+grid AS (SELECT * FROM (VALUES {grid_values(THRESHOLDS)}) g(pos, threshold)),
+sw_rows AS (
+  SELECT p.*, g.pos, g.threshold, CASE WHEN p.p_up >= g.threshold THEN 1 ELSE 0 END AS signal
+  FROM preds p CROSS JOIN grid g),
+sw_frame AS MATERIALIZED {trades_sql("sw_rows", "split, pos, threshold", dbl(COST))},
+sw_curve AS MATERIALIZED {curve_sql(daily_sql("sw_frame", "split, pos, threshold"), "split, pos, threshold")},
+sw_metrics AS {metrics_sql("sw_curve", "split, pos, threshold")},
+sw_sel AS (
+  SELECT *, exposure >= {dbl(0.1)} AS eligible,
+    row_number() OVER (PARTITION BY split ORDER BY (exposure >= {dbl(0.1)}) DESC,
+      CASE WHEN exposure >= {dbl(0.1)} THEN sharpe_ratio END DESC NULLS LAST, pos) = 1 AS selected
+  FROM sw_metrics)"""
+)

@@ -47,12 +47,13 @@ Combine = Callable[[Column, Column], Column]
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Persist a frame that feeds two branches of a plan (memory, spilling to disk).
+    """Materialise a frame that feeds several branches and cut its lineage.
 
-    Lost blocks are recomputed from lineage, so this is safe under executor
-    loss; it only avoids evaluating the same windows twice.
+    ``checkpoint()`` writes to the cluster's shared ``spark.checkpoint.dir``,
+    so the result survives executor loss, and later plans start from a leaf
+    instead of re-optimising (and re-running) the whole upstream pipeline.
     """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint(eager=True)
 
 
 def tick(col: Column, dtype) -> Column:
@@ -136,12 +137,27 @@ def _fold_scan(
     combine: Combine,
     passthrough: Sequence[str],
 ) -> DataFrame:
-    """Short histories: fold the (at most FOLD_SPAN) earlier summaries per row."""
+    """Short histories: fold the (at most FOLD_SPAN) earlier summaries per row.
+
+    The fold result is projected into its own column first so ``combine``
+    (which may reference its arguments many times) never duplicates the
+    higher-order expression.
+    """
     w = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.collect_list(F.col(value)).over(w)
-    folded = F.aggregate(earlier, F.lit(None).cast(summary.schema[value].dataType), lambda acc, x: F.when(acc.isNull(), x).otherwise(combine(acc, x)))
-    total = F.when(F.size(earlier) == 0, F.col(value)).otherwise(combine(folded, F.col(value)))
-    return summary.select(*keys, pos, total.alias(value), *passthrough)
+    dtype = summary.schema[value].dataType
+    folded = summary.select(
+        *keys,
+        pos,
+        value,
+        *passthrough,
+        F.aggregate(
+            F.collect_list(F.col(value)).over(w),
+            F.lit(None).cast(dtype),
+            lambda acc, x: F.when(acc.isNull(), x).otherwise(combine(acc, x)),
+        ).alias("_fold"),
+    )
+    total = F.when(F.col("_fold").isNull(), F.col(value)).otherwise(combine(F.col("_fold"), F.col(value)))
+    return folded.select(*keys, pos, total.alias(value), *passthrough)
 
 
 def with_ordinal(
