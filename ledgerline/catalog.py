@@ -420,3 +420,295 @@ def q_what_if_sweep(spark, sf_dir):
     costs = [bps / 10_000 for bps in BT.WHAT_IF_COSTS_BPS]
     m = BT.sweep_metrics(preds, BT.WHAT_IF_THRESHOLDS, costs, gross=False)
     return m.select("threshold", F.round(F.col("cost_per_trade") * 10_000, 2).alias("cost_bps"), *r6(*NET_METRICS))
+
+
+# ---------------------------------------------------------- classification ---
+from ledgerline.functions.labels import MODEL_LABELS, PRIMARY_STRATEGIES, STRATEGY_LABELS  # noqa: E402
+from ledgerline.operators import classification as CL  # noqa: E402
+from ledgerline.operators import report as RP  # noqa: E402
+from ledgerline.sources.tables import read_table  # noqa: E402
+
+CLASS_METRICS = list(CL.METRICS)
+SEG = ["target", "lang"]
+
+
+def labelled_documents(spark, sf_dir) -> DataFrame:
+    """Labels joined to documents (only the four needed document columns are read)."""
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "n_chars", "lang", "source"])
+    j = labels.join(docs, "doc_id").select(
+        "doc_id", "lang", "source", "n_chars",
+        F.when(F.col("n_chars") >= 1200, 1).otherwise(0).alias("y_pred"), "quality", "toxic",
+    )
+    return j.unpivot(["doc_id", "lang", "source", "n_chars", "y_pred"], ["quality", "toxic"], "target", "y_true")
+
+
+@register(
+    "classification_metrics",
+    "WITH" + O.LABELLED + "\n" + O.class_metrics_sql(O.counts_sql("long", "target, lang"), "target, lang"),
+)
+def q_classification_metrics(spark, sf_dir):
+    m = CL.classification_metrics(labelled_documents(spark, sf_dir), SEG, "y_true", "y_pred")
+    return m.select(*SEG, *r6(*CLASS_METRICS))
+
+
+@register(
+    "roc_auc",
+    "WITH" + O.LABELLED + "\nSELECT target, lang, round(roc_auc, 6) AS roc_auc FROM " + O.auc_sql("long", "target, lang", "n_chars"),
+)
+def q_roc_auc(spark, sf_dir):
+    return CL.roc_auc(labelled_documents(spark, sf_dir), SEG, "y_true", "n_chars").select(*SEG, *r6("roc_auc"))
+
+
+@register(
+    "baseline_predictions",
+    O.with_prepared(
+        """,
+bl AS (
+  SELECT split, 'baseline_majority_up' AS model_key, target AS y_true, 1 AS y_pred FROM dataset WHERE split IN ('validation', 'test')
+  UNION ALL
+  SELECT split, 'baseline_previous_day_direction', target, CASE WHEN return_1d > 0 THEN 1 ELSE 0 END
+  FROM dataset WHERE split IN ('validation', 'test'))
+"""
+        + O.class_metrics_sql(O.counts_sql("bl", "model_key, split"), "model_key, split")
+    ).replace("\n,\nbl AS", ",\nbl AS"),
+)
+def q_baseline_predictions(spark, sf_dir):
+    rows = CL.baseline_predictions(modeling_dataset(spark, sf_dir))
+    m = CL.classification_metrics(rows, ["model_key", "split"], "target", "y_pred")
+    return m.select("model_key", "split", *r6(*CLASS_METRICS))
+
+
+@register(
+    "score_minmax",
+    "WITH" + O.LABELLED + """,
+b AS (SELECT lang, min(n_chars) AS lo, max(n_chars) AS hi FROM j GROUP BY lang)
+SELECT j.doc_id, j.lang, round(CASE WHEN b.hi > b.lo THEN CAST(j.n_chars - b.lo AS DOUBLE) / (b.hi - b.lo) ELSE 0.5 END, 6) AS p_up
+FROM j JOIN b ON j.lang = b.lang""",
+)
+def q_score_minmax(spark, sf_dir):
+    docs = labelled_documents(spark, sf_dir).where(F.col("target") == "quality")
+    scaled = CL.minmax_scores(docs.withColumn("n_chars", F.col("n_chars").cast("double")), ["lang"], "n_chars")
+    return scaled.select("doc_id", "lang", *r6("p_up"))
+
+
+CLASS_CTE = "WITH" + O.LABELLED + ",\ncm AS (" + O.class_metrics_sql(O.counts_sql("long", "target, lang"), "target, lang", 12) + ")"
+
+
+@register(
+    "metric_melt",
+    CLASS_CTE + "\nSELECT target, lang, metric, round(value, 6) AS value FROM (UNPIVOT cm ON "
+    + ", ".join(CLASS_METRICS) + " INTO NAME metric VALUE value)",
+)
+def q_metric_melt(spark, sf_dir):
+    m = CL.classification_metrics(labelled_documents(spark, sf_dir), SEG, "y_true", "y_pred")
+    return RP.melt(m, SEG, CLASS_METRICS).select(*SEG, "metric", *r6("value"))
+
+
+@register(
+    "metric_recode",
+    CLASS_CTE + "\nSELECT target, lang, CASE metric WHEN 'accuracy' THEN 'Accuracy' WHEN 'balanced_accuracy' THEN "
+    "'Balanced Accuracy' WHEN 'f1' THEN 'F1' ELSE metric END AS metric, round(value, 6) AS value "
+    "FROM (UNPIVOT (SELECT target, lang, accuracy, balanced_accuracy, f1 FROM cm) ON accuracy, balanced_accuracy, f1 "
+    "INTO NAME metric VALUE value)",
+)
+def q_metric_recode(spark, sf_dir):
+    m = CL.classification_metrics(labelled_documents(spark, sf_dir), SEG, "y_true", "y_pred")
+    long = RP.melt(m, SEG, ["accuracy", "balanced_accuracy", "f1"])
+    return RP.recode_metrics(long).select(*SEG, "metric", *r6("value"))
+
+
+# ------------------------------------------------------------------ report ---
+METRIC_TABLE_SQL = (
+    "," + O.RULE_ROWS + "," + O.SCORE_SWEEP + f""",
+smt AS (
+SELECT strategy_key, strategy_key AS model_key, split, CAST(NULL AS DOUBLE) AS threshold, {O.dbl(O.COST)} AS cost_per_trade, {', '.join(METRICS)} FROM rule_metrics
+UNION ALL
+SELECT '{SCORE_STRATEGY}', '{SCORE_MODEL}', 'validation_threshold_selection', threshold, {O.dbl(O.COST)}, {', '.join(METRICS)} FROM sw_sel WHERE split = 'validation' AND selected
+UNION ALL
+SELECT '{SCORE_STRATEGY}', '{SCORE_MODEL}', 'test', threshold, {O.dbl(O.COST)}, {', '.join(METRICS)} FROM sw_sel
+WHERE split = 'test' AND threshold = (SELECT threshold FROM sw_sel WHERE split = 'validation' AND selected))"""
+)
+
+
+def _case_map(col: str, mapping: dict[str, str], fallback: str) -> str:
+    arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"CASE {col} {arms} ELSE {fallback} END"
+
+
+TITLE_SQL = "list_aggregate(list_transform(string_split({c}, '_'), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ')"
+
+
+@register(
+    "label_lookup",
+    O.with_prepared(
+        METRIC_TABLE_SQL
+        + "\nSELECT strategy_key, model_key, split, "
+        + _case_map("strategy_key", STRATEGY_LABELS, TITLE_SQL.format(c="strategy_key"))
+        + " AS strategy, "
+        + _case_map("model_key", {**STRATEGY_LABELS, **MODEL_LABELS}, TITLE_SQL.format(c="model_key"))
+        + " AS model FROM smt"
+    ),
+)
+def q_label_lookup(spark, sf_dir):
+    m = backtest_metrics(spark, sf_dir).select("strategy_key", "model_key", "split")
+    return RP.add_labels(m, spark).select("strategy_key", "model_key", "split", "strategy", "model")
+
+
+@register(
+    "ranked_metrics",
+    O.with_prepared(
+        METRIC_TABLE_SQL
+        + "\nSELECT split, strategy_key, round(sharpe_ratio, 6) AS sharpe_ratio, round(total_return, 6) AS total_return, "
+        "CAST(row_number() OVER (PARTITION BY split ORDER BY sharpe_ratio DESC NULLS LAST, strategy_key) AS BIGINT) AS rank FROM smt"
+    ),
+)
+def q_ranked_metrics(spark, sf_dir):
+    m = RP.ranked(backtest_metrics(spark, sf_dir), "sharpe_ratio", ["split"], "strategy_key")
+    return m.select("split", "strategy_key", *r6("sharpe_ratio", "total_return"), F.col("rank").cast("long").alias("rank"))
+
+
+def union_frames(spark, sf_dir) -> DataFrame:
+    """Rule frames (no p_up) stacked with the score frame (with p_up)."""
+    ds = modeling_dataset(spark, sf_dir)
+    rules = BT.rule_strategy_frames(ds)
+    preds = score_predictions(ds, ("test",))
+    score = BT.add_strategy_identity(
+        BT.long_cash_frame(preds, 0.55, BT.COST_PER_TRADE, run_keys=["split"]), SCORE_STRATEGY, SCORE_MODEL
+    )
+    return rules.unionByName(score, allowMissingColumns=True)
+
+
+UNION_SQL = (
+    "," + O.RULE_ROWS + "," + O.PREDS + f""",
+sc AS (SELECT *, '{SCORE_STRATEGY}' AS strategy_key, '{SCORE_MODEL}' AS model_key, {O.dbl(0.55)} AS threshold
+       FROM {O.trades_sql(f"(SELECT *, CASE WHEN p_up >= {O.dbl(0.55)} THEN 1 ELSE 0 END AS signal FROM preds WHERE split = 'test')", "split", O.dbl(O.COST))}),
+un AS (SELECT *, strategy_key AS model_key, CAST(NULL AS DOUBLE) AS threshold FROM rule_frame
+       UNION ALL BY NAME SELECT * FROM sc)"""
+)
+
+
+@register(
+    "backtest_union",
+    O.with_prepared(
+        UNION_SQL
+        + "\nSELECT strategy_key, model_key, split, index_name, \"Date\", round(p_up, 6) AS p_up, threshold, "
+        "CAST(signal AS BIGINT) AS signal, round(strategy_return, 6) AS strategy_return FROM un"
+    ),
+)
+def q_backtest_union(spark, sf_dir):
+    u = union_frames(spark, sf_dir)
+    return u.select(
+        "strategy_key", "model_key", "split", *KEY, *r6("p_up"), "threshold",
+        F.col("signal").cast("long").alias("signal"), *r6("strategy_return"),
+    )
+
+
+@register("distinct_keys", O.with_prepared(UNION_SQL + "\nSELECT DISTINCT split, strategy_key FROM un"))
+def q_distinct_keys(spark, sf_dir):
+    return RP.distinct_sorted(union_frames(spark, sf_dir), ["split", "strategy_key"])
+
+
+@register(
+    "ordered_dedup",
+    O.with_prepared(UNION_SQL + '\nSELECT split, strategy_key, min("Date") AS first_position FROM un GROUP BY split, strategy_key'),
+)
+def q_ordered_dedup(spark, sf_dir):
+    return RP.ordered_distinct(union_frames(spark, sf_dir), "strategy_key", "Date", ["split"])
+
+
+def score_frame(spark, sf_dir, threshold: float) -> DataFrame:
+    preds = score_predictions(modeling_dataset(spark, sf_dir), ("test",))
+    return BT.long_cash_frame(preds, threshold, BT.COST_PER_TRADE, run_keys=["split"])
+
+
+def _score_frame_sql(threshold: float) -> str:
+    return (
+        "," + O.PREDS + ",\nsf AS "
+        + O.trades_sql(
+            f"(SELECT *, CASE WHEN p_up >= {O.dbl(threshold)} THEN 1 ELSE 0 END AS signal FROM preds WHERE split = 'test')",
+            "split", O.dbl(O.COST),
+        )
+    )
+
+
+@register(
+    "instrument_exposure",
+    O.with_prepared(
+        _score_frame_sql(0.60)
+        + "\nSELECT index_name, round(avg(signal), 6) AS exposure, round(avg(p_up), 6) AS avg_p_up, "
+        "round(avg(strategy_return), 6) AS avg_return, CAST(sum(trade) AS BIGINT) AS trades FROM sf GROUP BY index_name"
+    ),
+)
+def q_instrument_exposure(spark, sf_dir):
+    e = RP.instrument_exposure(score_frame(spark, sf_dir, 0.60))
+    return e.select("index_name", *r6("exposure", "avg_p_up", "avg_return"), "trades")
+
+
+@register(
+    "score_histogram",
+    O.with_prepared(
+        _score_frame_sql(0.55)
+        + f""",
+bounds AS (SELECT min(p_up) AS lo, (max(p_up) - min(p_up)) / 40 AS w FROM sf),
+binned AS (SELECT signal, CAST(least(floor((p_up - lo) / w), 39) AS INTEGER) AS bin, lo, w FROM sf, bounds)
+SELECT CAST(signal AS BIGINT) AS signal, bin, CAST(count(*) AS BIGINT) AS count,
+  round(any_value(lo) + bin * any_value(w), 6) AS bin_start, round(any_value(lo) + (bin + 1) * any_value(w), 6) AS bin_end
+FROM binned GROUP BY signal, bin"""
+    ),
+)
+def q_score_histogram(spark, sf_dir):
+    h = RP.histogram(score_frame(spark, sf_dir, 0.55), "p_up", 40, ["signal"])
+    return h.select(F.col("signal").cast("long").alias("signal"), "bin", "count", *r6("bin_start", "bin_end"))
+
+
+DENSITY_KEYS = ("buy_and_hold", "previous_day_direction")
+
+
+@register(
+    "return_density",
+    O.with_prepared(
+        "," + O.RULE_ROWS + f""",
+rr AS (SELECT strategy_key, strategy_return FROM rule_frame WHERE split = 'test' AND strategy_key IN ({", ".join(f"'{k}'" for k in DENSITY_KEYS)})),
+bounds AS (SELECT min(strategy_return) AS lo, (max(strategy_return) - min(strategy_return)) / 45 AS w FROM rr),
+binned AS (SELECT strategy_key, CAST(least(floor((strategy_return - lo) / w), 44) AS INTEGER) AS bin FROM rr, bounds),
+n AS (SELECT strategy_key, count(*) AS n FROM rr GROUP BY strategy_key)
+SELECT b.strategy_key, b.bin, CAST(count(*) AS BIGINT) AS count,
+  round(count(*) / (any_value(n.n) * (SELECT w FROM bounds)), 6) AS density
+FROM binned b JOIN n ON b.strategy_key = n.strategy_key GROUP BY b.strategy_key, b.bin"""
+    ),
+)
+def q_return_density(spark, sf_dir):
+    frames = rule_frames(spark, sf_dir).where((F.col("split") == "test") & F.col("strategy_key").isin(list(DENSITY_KEYS)))
+    d = RP.density(frames, "strategy_return", 45, ["strategy_key"])
+    return d.select("strategy_key", "bin", "count", *r6("density"))
+
+
+@register(
+    "chart_series",
+    O.with_prepared(
+        "," + O.RULE_ROWS + "\nSELECT strategy_key, \"Date\", "
+        + _case_map("strategy_key", STRATEGY_LABELS, "NULL")
+        + " AS strategy, round(equity, 6) AS equity, round(drawdown, 6) AS drawdown, round(exposure, 6) AS exposure, "
+        "round(turnover, 6) AS turnover FROM rule_curve WHERE split = 'test' AND strategy_key IN ("
+        + ", ".join(f"'{k}'" for k in PRIMARY_STRATEGIES) + ")"
+    ),
+)
+def q_chart_series(spark, sf_dir):
+    c = RP.chart_series(rule_curves(spark, sf_dir), spark, "test", PRIMARY_STRATEGIES)
+    return c.select("strategy_key", "Date", "strategy", *r6("equity", "drawdown", "exposure", "turnover"))
+
+
+@register(
+    "rolling_sharpe",
+    O.with_prepared(
+        "," + O.RULE_ROWS + f"""
+SELECT strategy_key, split, "Date", round(CASE WHEN count(*) OVER w = 63 AND stddev_samp(strategy_return) OVER w <> 0
+  THEN avg(strategy_return) OVER w / stddev_samp(strategy_return) OVER w * {O.dbl(O.SQRT_YEAR)} END, 6) AS rolling_sharpe
+FROM rule_curve
+WINDOW w AS (PARTITION BY strategy_key, split ORDER BY "Date" ROWS BETWEEN 62 PRECEDING AND CURRENT ROW)"""
+    ),
+)
+def q_rolling_sharpe(spark, sf_dir):
+    r = RP.rolling_sharpe(rule_curves(spark, sf_dir), RUN, 63)
+    return r.select(*RUN, "Date", *r6("rolling_sharpe"))

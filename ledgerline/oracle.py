@@ -282,3 +282,56 @@ sw_sel AS (
       CASE WHEN exposure >= {dbl(0.1)} THEN sharpe_ratio END DESC NULLS LAST, pos) = 1 AS selected
   FROM sw_metrics)"""
 )
+
+
+# ----------------------------------------------------------- classification ---
+LABELLED = """
+j AS (
+  SELECT d.doc_id, d.lang, d.source, d.n_chars, CASE WHEN d.n_chars >= 1200 THEN 1 ELSE 0 END AS y_pred,
+    l.quality, l.toxic
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+long AS (
+  SELECT doc_id, lang, source, n_chars, y_pred, 'quality' AS target, quality AS y_true FROM j
+  UNION ALL
+  SELECT doc_id, lang, source, n_chars, y_pred, 'toxic' AS target, toxic AS y_true FROM j)"""
+
+
+def counts_sql(source: str, keys: str) -> str:
+    def s(cond: str) -> str:
+        return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS DOUBLE)"
+
+    return f"""(
+  SELECT {keys}, {s("y_true = 1 AND y_pred = 1")} AS tp, {s("y_true = 0 AND y_pred = 1")} AS fp,
+    {s("y_true = 0 AND y_pred = 0")} AS tn, {s("y_true = 1 AND y_pred = 0")} AS fn
+  FROM {source} GROUP BY {keys})"""
+
+
+def class_metrics_sql(counts: str, keys: str, digits: int = 6) -> str:
+    z = dbl(0)
+
+    def zd(num: str, den: str) -> str:
+        return f"CASE WHEN {den} > 0 THEN ({num}) / ({den}) ELSE {z} END"
+
+    tpr, tnr = zd("tp", "tp + fn"), zd("tn", "tn + fp")
+    bal = (
+        f"CASE WHEN tp + fn > 0 AND tn + fp > 0 THEN ({tpr} + {tnr}) / 2 "
+        f"WHEN tp + fn > 0 THEN {tpr} WHEN tn + fp > 0 THEN {tnr} ELSE {z} END"
+    )
+    return f"""SELECT {keys},
+  round({zd("tp + tn", "tp + tn + fp + fn")}, {digits}) AS accuracy,
+  round({bal}, {digits}) AS balanced_accuracy,
+  round({zd("tp", "tp + fp")}, {digits}) AS precision,
+  round({tpr}, {digits}) AS recall,
+  round({zd("2 * tp", "2 * tp + fp + fn")}, {digits}) AS f1
+FROM {counts}"""
+
+
+def auc_sql(source: str, keys: str, score: str) -> str:
+    return f"""(
+  SELECT {keys}, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+      THEN sum(pos * (neg_below + neg * {dbl(0.5)})) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) END AS roc_auc
+  FROM (
+    SELECT *, coalesce(sum(neg) OVER (PARTITION BY {keys} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+    FROM (SELECT {keys}, CAST({score} AS DOUBLE) AS s, sum(y_true) AS pos, sum(1 - y_true) AS neg
+          FROM {source} WHERE {score} IS NOT NULL GROUP BY {keys}, s))
+  GROUP BY {keys})"""
