@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import oracle as O
+from ledgerline.plans import series as S
 from ledgerline.operators import features as FE
 from ledgerline.sources import panels as P
 
@@ -337,8 +338,21 @@ def q_portfolio_curve(spark, sf_dir):
     return rule_curves(spark, sf_dir).select(*RUN, "Date", *r6(*CURVE_COLUMNS))
 
 
+_METRICS: dict[tuple[str, str], DataFrame] = {}
+
+
 def backtest_metrics(spark, sf_dir) -> DataFrame:
-    """C5 + C6 (deterministic score as the model): the strategy metrics table."""
+    """C5 + C6 (deterministic score as the model): the strategy metrics table.
+
+    Checkpointed once per application and scale directory.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _METRICS:
+        _METRICS[key] = S.keep(_backtest_metrics(spark, sf_dir))
+    return _METRICS[key]
+
+
+def _backtest_metrics(spark, sf_dir) -> DataFrame:
     ds = modeling_dataset(spark, sf_dir)
     curve = BT.portfolio_daily_returns(BT.rule_strategy_frames(ds), RUN)
     rules = BT.strategy_metrics(curve, RUN).select(
@@ -712,3 +726,117 @@ WINDOW w AS (PARTITION BY strategy_key, split ORDER BY "Date" ROWS BETWEEN 62 PR
 def q_rolling_sharpe(spark, sf_dir):
     r = RP.rolling_sharpe(rule_curves(spark, sf_dir), RUN, 63)
     return r.select(*RUN, "Date", *r6("rolling_sharpe"))
+
+
+# ------------------------------------------------------------- event panel ---
+EVENT_SQL = """WITH
+ev AS (
+  SELECT event_type AS index_name, date_trunc('hour', ts) AS hr, avg(value) AS lvl
+  FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+ep AS (
+  SELECT index_name, hr, row_number() OVER (PARTITION BY index_name ORDER BY hr) - 1 AS t,
+    avg(lvl) OVER (PARTITION BY index_name ORDER BY hr ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS "Price"
+  FROM ev),
+er AS (
+  SELECT *, "Price" / NULLIF(lag("Price", 1) OVER (PARTITION BY index_name ORDER BY t), 0) - 1 AS return_1d,
+    "Price" / NULLIF(lag("Price", 20) OVER (PARTITION BY index_name ORDER BY t), 0) - 1 AS return_20d
+  FROM ep)
+SELECT index_name, CAST(hr AS VARCHAR) AS hour, round(return_1d, 6) AS return_1d, round(return_20d, 6) AS return_20d,
+  round(CASE WHEN count(return_1d) OVER w = 20 THEN stddev_samp(return_1d) OVER w END, 6) AS volatility_20d
+FROM er WINDOW w AS (PARTITION BY index_name ORDER BY t ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
+
+
+@register("event_panel_features", EVENT_SQL)
+def q_event_panel_features(spark, sf_dir):
+    """The feature windows on a second, hourly panel (event type x hour)."""
+    f = FE.price_features(P.event_panel(spark, sf_dir))
+    return f.df.select(
+        "index_name", F.col("Date").cast("string").alias("hour"), *r6("return_1d", "return_20d", "volatility_20d")
+    )
+
+
+# --------------------------------------------------------------------- ML ---
+import os  # noqa: E402
+
+from ledgerline.operators import ml as ML  # noqa: E402
+from ledgerline.session import ensure_checkpoint_dir  # noqa: E402
+
+ML_PARAMS = ML.ModelParams()
+
+
+def model_dir(spark, sf_dir: str, fitted_on: str, key: str) -> str:
+    """Models live in the shared checkpoint folder, never on a machine-local path."""
+    tag = os.path.basename(os.path.normpath(sf_dir))
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{tag}/{fitted_on}/{key}"
+
+
+def _split(ds: DataFrame, *splits: str) -> DataFrame:
+    return ds.where(F.col("split").isin(list(splits)))
+
+
+def final_model(spark, sf_dir: str, key: str, ds: DataFrame, feats) -> tuple[ML.PipelineModel, str]:
+    """The saved train + validation model, fitted and saved on first use."""
+    path = model_dir(spark, sf_dir, "train_validation", key)
+    try:
+        return ML.load(path), path
+    except Exception:  # noqa: BLE001 - not saved yet in this folder
+        model = ML.fit(key, _split(ds, "train", "validation"), feats, ML_PARAMS)
+        ML.save(model, path)
+        return model, path
+
+
+@register("train_report")
+def q_train_report(spark, sf_dir):
+    """M8: fit on train, report validation and test (5 metrics + AUC), refit on
+    train + validation and save.  Baseline rows (P16) are included."""
+    prep = prepared(spark, sf_dir)
+    ds, feats = prep.panel.public(), prep.features
+    reports = []
+    for key in ML.MODEL_KEYS:
+        model = ML.fit(key, _split(ds, "train"), feats, ML_PARAMS)
+        scored = ML.score(model, _split(ds, "validation", "test"), ["split", "target"]).withColumn("model_key", F.lit(key))
+        reports.append(CL.classification_report(scored, ["model_key", "split"], "target", "y_pred", "p_up"))
+        final = ML.fit(key, _split(ds, "train", "validation"), feats, ML_PARAMS)
+        ML.save(final, model_dir(spark, sf_dir, "train_validation", key))
+    base = CL.classification_metrics(CL.baseline_predictions(ds), ["model_key", "split"], "target", "y_pred")
+    out = base.withColumn("roc_auc", F.lit(None).cast("double"))
+    for r in reports:
+        out = out.unionByName(r)
+    return out.select("model_key", "split", *r6(*CLASS_METRICS, "roc_auc"))
+
+
+@register("evaluate_saved")
+def q_evaluate_saved(spark, sf_dir):
+    """M9: load the saved train + validation models and score the test split (hard labels)."""
+    prep = prepared(spark, sf_dir)
+    ds, feats = prep.panel.public(), prep.features
+    rows = None
+    for key in ML.MODEL_KEYS:
+        model, path = final_model(spark, sf_dir, key, ds, feats)
+        scored = ML.score(model, _split(ds, "test"), ["target"])
+        m = CL.classification_metrics(scored.withColumn("model_key", F.lit(key)), ["model_key"], "target", "y_pred")
+        m = m.withColumns({"model_name": F.lit(ML.model_name(key)), "model_path": F.lit(path)})
+        rows = m if rows is None else rows.unionByName(m)
+    return rows.select("model_key", "model_name", "model_path", *r6(*CLASS_METRICS))
+
+
+@register("model_backtest")
+def q_model_backtest(spark, sf_dir):
+    """Threshold chosen on validation with a train-only model, applied to the
+    test split with the train + validation model."""
+    prep = prepared(spark, sf_dir)
+    ds, feats = prep.panel.public(), prep.features
+    keep = ["index_name", "Date", "split", "next_return"]
+    out = None
+    for key in ML.MODEL_KEYS:
+        train_only = ML.fit(key, _split(ds, "train"), feats, ML_PARAMS)
+        val = ML.score(train_only, _split(ds, "validation"), keep)
+        chosen = BT.choose_threshold(val, run_keys=["split"]).where("selected")
+        final, _ = final_model(spark, sf_dir, key, ds, feats)
+        test = ML.score(final, _split(ds, "test"), keep)
+        test_m = BT.sweep_metrics(test, BT.THRESHOLDS, [BT.COST_PER_TRADE], ["split"])
+        test_m = test_m.join(chosen.select("threshold"), "threshold", "left_semi")
+        both = chosen.drop("eligible", "selected").withColumn("split", F.lit("validation_threshold_selection")).unionByName(test_m)
+        both = both.withColumns({"strategy_key": F.lit(f"{key}_long_cash"), "model_key": F.lit(key)})
+        out = both if out is None else out.unionByName(both)
+    return out.select("strategy_key", "model_key", "split", "threshold", "cost_per_trade", *r6(*METRICS))
