@@ -840,3 +840,35 @@ def q_model_backtest(spark, sf_dir):
         both = both.withColumns({"strategy_key": F.lit(f"{key}_long_cash"), "model_key": F.lit(key)})
         out = both if out is None else out.unionByName(both)
     return out.select("strategy_key", "model_key", "split", "threshold", "cost_per_trade", *r6(*METRICS))
+
+
+# ------------------------------------------------------------------- sinks ---
+from ledgerline.sources import sinks as SK  # noqa: E402
+
+
+def results_dir(spark, sf_dir: str, name: str) -> str:
+    tag = os.path.basename(os.path.normpath(sf_dir))
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/results/{tag}/{name}"
+
+
+@register("processed_split_scan", O.with_prepared(f"SELECT {MODELING_SQL_COLUMNS} FROM dataset WHERE split = 'test'"))
+def q_processed_split_scan(spark, sf_dir):
+    """S5 + F1: write the dataset partitioned by split, read back the test partition."""
+    path = SK.save_processed_dataset(modeling_dataset(spark, sf_dir), results_dir(spark, sf_dir, "processed_dataset"))
+    return modeling_projection(SK.read_split(spark, path, "test"))
+
+
+@register(
+    "results_roundtrip",
+    O.with_prepared(
+        METRIC_TABLE_SQL
+        + f"\nSELECT strategy_key, model_key, split, threshold, cost_per_trade, {sql_r(METRICS)} FROM smt"
+    ),
+)
+def q_results_roundtrip(spark, sf_dir):
+    """S6/S8 + S3: strategy metrics written as CSV and read back with an explicit schema."""
+    m = backtest_metrics(spark, sf_dir).select(
+        "strategy_key", "model_key", "split", "threshold", "cost_per_trade", *r6(*METRICS)
+    )
+    path = SK.write_table(m, results_dir(spark, sf_dir, "strategy_metrics_csv"), "csv")
+    return SK.read_result(spark, path, m.schema, "csv")
