@@ -52,8 +52,15 @@ def sql_f32(names) -> str:
     return ", ".join(f"CAST({n} AS FLOAT) AS {n}" for n in names)
 
 
+_FEATURES: dict[tuple, P.Panel] = {}
+
+
 def feature_panel(spark: SparkSession, sf_dir: str, **kw) -> P.Panel:
-    return FE.price_features(P.order_panel(spark, sf_dir), **kw)
+    """Order panel + price features; checkpointed, so built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+    if key not in _FEATURES:
+        _FEATURES[key] = FE.price_features(P.order_panel(spark, sf_dir), **kw)
+    return _FEATURES[key]
 
 
 # ---------------------------------------------------------------- features ---
