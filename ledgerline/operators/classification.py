@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 METRICS = ("accuracy", "balanced_accuracy", "precision", "recall", "f1")
 AUC_BUCKETS = 256
+MAX_AUC_BUCKETS = 4096
+BUCKET_ROWS = 50_000  # target distinct scores per bucket for large inputs
 
 
 def _zero_div(num: Column, den: Column) -> Column:
@@ -58,7 +60,7 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], y_true: str, y_pr
     return metrics_from_counts(confusion_counts(df, keys, y_true, y_pred), keys)
 
 
-def roc_auc(df: DataFrame, keys: Sequence[str], y_true: str, score: str, buckets: int = AUC_BUCKETS) -> DataFrame:
+def roc_auc(df: DataFrame, keys: Sequence[str], y_true: str, score: str, buckets: int | None = None) -> DataFrame:
     """Exact, tie-aware ROC-AUC per group (Mann-Whitney).
 
     ``AUC = sum_s pos(s) * (neg_below(s) + neg(s) / 2) / (P * N)``.  Rows are
@@ -74,6 +76,10 @@ def roc_auc(df: DataFrame, keys: Sequence[str], y_true: str, score: str, buckets
     g = df.where(F.col(score).isNotNull()).groupBy(*keys, F.col(score).cast("double").alias("_s")).agg(
         F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")
     )
+    if buckets is None:
+        # More buckets for more distinct scores, so a bucket stays near BUCKET_ROWS.
+        distinct = g.count()
+        buckets = int(min(MAX_AUC_BUCKETS, max(AUC_BUCKETS, distinct // BUCKET_ROWS)))
     fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cuts = g.groupBy(*keys).agg(F.percentile_approx("_s", fractions, 10 * buckets).alias("_cuts"))
     tagged = g.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_s")))).drop("_cuts")
