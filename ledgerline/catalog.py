@@ -879,3 +879,35 @@ def q_results_roundtrip(spark, sf_dir):
     )
     path = SK.write_table(m, results_dir(spark, sf_dir, "strategy_metrics_csv"), "csv")
     return SK.read_result(spark, path, m.schema, "csv")
+
+
+@register(
+    "metric_row_lookup",
+    O.with_prepared(
+        METRIC_TABLE_SQL
+        + f"\nSELECT strategy_key, split, {sql_r(METRICS)} FROM smt WHERE split = 'test' AND strategy_key = 'buy_and_hold'"
+    ),
+)
+def q_metric_row_lookup(spark, sf_dir):
+    """One metric record by split and strategy (``limit(1)`` after the filter)."""
+    m = backtest_metrics(spark, sf_dir)
+    row = m.where((F.col("split") == "test") & (F.col("strategy_key") == "buy_and_hold")).limit(1)
+    return row.select("strategy_key", "split", *r6(*METRICS))
+
+
+@register(
+    "dataset_split_sizes",
+    O.with_prepared(
+        "SELECT CASE WHEN split = 'test' THEN 'test' ELSE 'train_validation' END AS part, "
+        "CAST(count(*) AS BIGINT) AS rows, round(avg(target), 6) AS target_mean FROM dataset GROUP BY 1"
+    ),
+)
+def q_dataset_split_sizes(spark, sf_dir):
+    """M10 + F8: the (train + validation, test) split used to evaluate saved models."""
+    prep = prepared(spark, sf_dir)
+    fit, test = PR.dataset_split(prep.panel.public(), prep.features)
+    def summary(df, name):
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("target"), 6).alias("target_mean")).select(
+            F.lit(name).alias("part"), "rows", "target_mean"
+        )
+    return summary(fit, "train_validation").unionByName(summary(test, "test"))

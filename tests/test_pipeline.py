@@ -88,3 +88,18 @@ def test_queries_match_duckdb(spark, name):
         return df.sort_values(cols).reset_index(drop=True)
 
     pd.testing.assert_frame_equal(norm(got), norm(want), check_dtype=False)
+
+
+def test_union_sources_tags_and_aligns(spark):
+    from ledgerline.sources.panels import union_sources
+
+    a = spark.createDataFrame([(1, 2.0)], "k int, x double")
+    b = spark.createDataFrame([(3, "s")], "k int, y string")
+    rows = {r.index_name: r for r in union_sources({"A": a, "B": b}).collect()}
+    assert rows["A"].x == 2.0 and rows["A"].y is None and rows["B"].y == "s"
+
+
+def test_empty_split_guard(spark, prep):
+    ds = prep.panel.public().where(F.col("split") != "test")
+    with pytest.raises(ValueError):
+        PR.dataset_split(ds, prep.features)
