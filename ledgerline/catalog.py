@@ -55,11 +55,16 @@ def sql_f32(names) -> str:
 _FEATURES: dict[tuple, P.Panel] = {}
 
 
-def feature_panel(spark: SparkSession, sf_dir: str, **kw) -> P.Panel:
-    """Order panel + price features; checkpointed, so built once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(kw.items())))
+def feature_panel(spark: SparkSession, sf_dir: str, **_variant) -> P.Panel:
+    """Order panel + price features, built once per application and scale directory.
+
+    One variant serves every query: it carries the planted look-ahead columns
+    and the rolling extremes; feature queries select their columns and the
+    preparation drops the extras.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FEATURES:
-        _FEATURES[key] = FE.price_features(P.order_panel(spark, sf_dir), **kw)
+        _FEATURES[key] = FE.price_features(P.order_panel(spark, sf_dir), planted_lookahead=True, keep_extremes=True)
     return _FEATURES[key]
 
 
@@ -135,7 +140,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> PR.Prepared:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PREPARED:
-        _PREPARED[key] = PR.prepare(feature_panel(spark, sf_dir, planted_lookahead=True), PR.TESTDATA_SPLIT)
+        panel = feature_panel(spark, sf_dir)
+        extremes = ["rolling_high_20d", "rolling_high_60d", "rolling_low_20d"]
+        _PREPARED[key] = PR.prepare(panel.with_df(panel.df.drop(*extremes)), PR.TESTDATA_SPLIT)
     return _PREPARED[key]
 
 
