@@ -183,11 +183,7 @@ def q_ffill_lag(spark, sf_dir):
     ),
 )
 def q_impute_train_median(spark, sf_dir):
-    meds = prepared(spark, sf_dir).medians
-    rows = [(k, float(v) if v is not None else None) for k, v in meds.items()]
-    # The medians are a handful of scalars; rebuild them as a tiny DataFrame.
-    df = spark.createDataFrame(rows, "feature string, median double")
-    return df.select("feature", F.round("median", 6).alias("median"))
+    return prepared(spark, sf_dir).median_frame.select("feature", F.round("median", 6).alias("median"))
 
 
 @register(

@@ -18,6 +18,7 @@ def ratio1(a: str, b: str) -> str:
 
 
 EMA_SPANS = (10, 20, 50, 200)
+PRICE = '"Price"'
 
 PANEL = """
 daily AS (
@@ -55,7 +56,7 @@ FEATURES = (
 r AS (
   SELECT *,
     """
-    + ",\n    ".join(f'{ratio1(chr(34) + "Price" + chr(34), f"lag({chr(34)}Price{chr(34)}, {h}) OVER w")} AS return_{h}d' for h in (1, 2, 5, 10, 20))
+    + ",\n    ".join(f"{ratio1(PRICE, f'lag({PRICE}, {h}) OVER w')} AS return_{h}d" for h in (1, 2, 5, 10, 20))
     + """,
     lead("Price", 1) OVER w / NULLIF("Price", 0) - 1 AS next_return,
     CASE WHEN count("Price") OVER w20 = 20 THEN max("Price") OVER w20 END AS rolling_high_20d,
@@ -91,7 +92,7 @@ feat AS (
     + ratio1('"Price"', "rolling_low_20d")
     + """ AS price_vs_20d_low,
     """
-    + ",\n    ".join(f'{ratio1(chr(34) + "Price" + chr(34), f"ema.e{s}")} AS price_vs_trailing_ema_{s}' for s in EMA_SPANS)
+    + ",\n    ".join(f"{ratio1(PRICE, f'ema.e{s}')} AS price_vs_trailing_ema_{s}" for s in EMA_SPANS)
     + """,
     """
     + ratio1("ema.e10", "ema.e50")

@@ -1,0 +1,6 @@
+"""Streaming operators: intentionally none.
+
+The workload is batch analytics over stored panels: there is no streaming
+source, watermark or stateful operator to rebuild, so nothing here uses
+Structured Streaming.
+"""
