@@ -369,13 +369,15 @@ def _backtest_metrics(spark, sf_dir) -> DataFrame:
         "strategy_key", F.col("strategy_key").alias("model_key"), "split",
         F.lit(None).cast("double").alias("threshold"), F.lit(BT.COST_PER_TRADE).alias("cost_per_trade"), *METRICS,
     )
-    preds = score_predictions(ds)
-    chosen = BT.choose_threshold(preds.where(F.col("split") == "validation"), run_keys=["split"]).where("selected")
+    # One sweep over both splits: the choice is made per split, the validation
+    # choice is reported and applied to the test rows of the same sweep.
+    swept = S.keep(BT.choose_threshold(score_predictions(ds), run_keys=["split"]))
+    chosen = swept.where((F.col("split") == "validation") & F.col("selected"))
     validation = chosen.select(
         F.lit(SCORE_STRATEGY).alias("strategy_key"), F.lit(SCORE_MODEL).alias("model_key"),
         F.lit("validation_threshold_selection").alias("split"), "threshold", "cost_per_trade", *METRICS,
     )
-    test_sweep = BT.sweep_metrics(preds.where(F.col("split") == "test"), BT.THRESHOLDS, [BT.COST_PER_TRADE], ["split"])
+    test_sweep = swept.where(F.col("split") == "test")
     test = test_sweep.join(chosen.select("threshold"), "threshold", "left_semi").select(
         F.lit(SCORE_STRATEGY).alias("strategy_key"), F.lit(SCORE_MODEL).alias("model_key"),
         "split", "threshold", "cost_per_trade", *METRICS,
