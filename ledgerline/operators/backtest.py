@@ -172,7 +172,7 @@ def equity_curve(daily: DataFrame, run_keys: Sequence[str], block_rows: int = S.
             "_lg": F.product(1 + F.col("gross_strategy_return")).over(running),
         }
     )
-    df = S.keep(df.withColumns({"_lmax": F.max("_lp").over(running), "_lmin": F.min("_lp").over(running)}))
+    df = df.withColumns({"_lmax": F.max("_lp").over(running), "_lmin": F.min("_lp").over(running)})
     summary = df.groupBy(*keys, S.BLK).agg(
         F.struct(
             F.max_by("_lp", S.ORD).alias("p"),
