@@ -385,7 +385,6 @@ def _backtest_metrics(spark, sf_dir) -> DataFrame:
     return rules.unionByName(validation).unionByName(test)
 
 
-METRICS_SQL_OUT = "threshold, cost_per_trade, " + sql_r(METRICS)
 
 
 @register(

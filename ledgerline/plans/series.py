@@ -27,7 +27,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType

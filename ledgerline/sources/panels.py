@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import nan_to_null
 from ledgerline.plans import series as S
 from ledgerline.sources.tables import read_table
 
@@ -74,7 +75,7 @@ def order_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         orders.where(F.col("o_orderstatus").isNotNull() & F.col("o_orderdate").isNotNull())
         .groupBy(F.col("o_orderstatus").alias(ENTITY), F.to_date("o_orderdate").alias(TIME))
-        .agg(F.avg("o_totalprice").alias("_level"))
+        .agg(F.avg(nan_to_null("o_totalprice")).alias("_level"))
     )
 
 
@@ -84,7 +85,7 @@ def bulk_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         li.where((F.col("l_quantity") >= 49) & F.col("l_shipdate").isNotNull())
         .groupBy(F.to_date("l_shipdate").alias(TIME))
-        .agg(F.avg("l_discount").alias("bulk_discount"))
+        .agg(F.avg(nan_to_null("l_discount")).alias("bulk_discount"))
     )
 
 
@@ -103,7 +104,7 @@ def event_panel(spark: SparkSession, sf_dir: str, block_rows: int = S.DEFAULT_BL
     raw = (
         ev.where(F.col("event_type").isNotNull() & F.col("ts").isNotNull())
         .groupBy(F.col("event_type").alias(ENTITY), F.date_trunc("hour", F.col("ts")).alias(TIME))
-        .agg(F.avg("value").alias("_level"))
+        .agg(F.avg(nan_to_null("value")).alias("_level"))
     )
     return smoothed_panel(raw, block_rows=block_rows)
 
