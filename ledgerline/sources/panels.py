@@ -60,8 +60,10 @@ def smoothed_panel(
     """Number rows per entity and set ``Price`` = trailing mean of ``level``.
 
     The mean covers the last ``smooth_rows`` rows and is partial at the start
-    of each entity.
+    of each entity.  Time keys without a level (all inputs missing or NaN) are
+    not part of the panel, so ``Price`` is never null.
     """
+    raw = raw.where(F.col(level).isNotNull())
     ordered, max_rows = S.with_ordinal(raw, keys, time_col, block_rows)
     blocked = S.with_halo(ordered, back=smooth_rows - 1, block_rows=block_rows)
     price = F.avg(level).over(S.rows_window(keys, smooth_rows))
