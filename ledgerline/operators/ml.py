@@ -61,13 +61,13 @@ def build_pipeline(key: str, features: Sequence[str], n_rows: int, params: Model
     if key == "random_forest":
         rf = RandomForestClassifier(
             featuresCol="_features", labelCol=LABEL, weightCol=WEIGHT, numTrees=params.num_trees,
-            minInstancesPerNode=20, featureSubsetStrategy="sqrt", maxDepth=12, maxBins=64, seed=params.seed,
+            minInstancesPerNode=20, featureSubsetStrategy="sqrt", maxDepth=12, maxBins=128, seed=params.seed,
         )
         return Pipeline(stages=[assembler, rf])
     if key == "hist_gradient_boosting":
         gbt = GBTClassifier(
             featuresCol="_features", labelCol=LABEL, stepSize=0.04, maxIter=params.boosting_rounds,
-            maxDepth=4, minInstancesPerNode=20, maxBins=64, seed=params.seed,
+            maxDepth=4, minInstancesPerNode=20, maxBins=128, seed=params.seed,
         )
         return Pipeline(stages=[assembler, gbt])
     raise KeyError(key)
