@@ -139,3 +139,16 @@ def test_fast_ema_span_rejected_for_large_blocks():
     with pytest.raises(ValueError):
         _decay(1.01, 4096)
     assert math.isclose(_decay(1, 256), 0.0)
+
+
+def test_doubling_scan_with_lineage_cuts(spark, monkeypatch):
+    """Force the doubling path and a checkpoint after every round."""
+    monkeypatch.setattr(S, "FOLD_SPAN", 0)
+    monkeypatch.setattr(S, "ROUNDS_PER_CHECKPOINT", 1)
+    rows = [(k, p, float(p % 5 + (k == "b"))) for k in ("a", "b") for p in range(37)]
+    df = spark.createDataFrame(rows, "k string, p long, v double")
+    out = S.prefix_scan(df, ["k"], "p", "v", lambda a, b: a + b, span=37).toPandas()
+    want = pd.DataFrame(rows, columns=["k", "p", "v"]).sort_values(["k", "p"])
+    want["cum"] = want.groupby("k")["v"].cumsum()
+    m = out.merge(want, on=["k", "p"], suffixes=("", "_in"))
+    assert len(m) == len(rows) and np.allclose(m["v"], m["cum"])
