@@ -915,3 +915,21 @@ def q_dataset_split_sizes(spark, sf_dir):
             F.lit(name).alias("part"), "rows", "target_mean"
         )
     return summary(fit, "train_validation").unionByName(summary(test, "test"))
+
+
+@register(
+    "curve_sink_scan",
+    O.with_prepared(
+        "," + O.RULE_ROWS + f"\nSELECT strategy_key, split, \"Date\", {sql_r(CURVE_COLUMNS)} FROM rule_curve "
+        "WHERE split = 'test' AND strategy_key IN ('buy_and_hold', 'positive_20d_momentum')"
+    ),
+)
+def q_curve_sink_scan(spark, sf_dir):
+    """Equity curves written partitioned by split and strategy; two partitions read back."""
+    path = SK.write_table(
+        rule_curves(spark, sf_dir), results_dir(spark, sf_dir, "equity_curves"), "parquet", ["split", "strategy_key"]
+    )
+    back = spark.read.parquet(path).where(
+        (F.col("split") == "test") & F.col("strategy_key").isin("buy_and_hold", "positive_20d_momentum")
+    )
+    return back.select(*RUN, "Date", *r6(*CURVE_COLUMNS))
