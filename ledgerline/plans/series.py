@@ -41,6 +41,10 @@ ROUNDS_PER_CHECKPOINT = 8
 # Up to this many summary rows per key the scan is one window with a bounded
 # fold (at most FOLD_SPAN elements per row); longer histories use doubling.
 FOLD_SPAN = 64
+# Broadcast a side only when a bound on its size, known before the join, is
+# below this; otherwise the planner (and AQE at run time) decides.
+BROADCAST_BOUND_BYTES = 8 * 1024 * 1024
+BYTES_PER_OFFSET_ROW = 64
 
 Combine = Callable[[Column, Column], Column]
 
@@ -181,7 +185,11 @@ def with_ordinal(
     ranges = counts.groupBy(*keys).agg(
         F.min("_tb").alias("_lo"), F.max("_tb").alias("_hi"), F.sum("_n").alias("_len")
     )
-    meta = ranges.agg(F.max(F.col("_hi") - F.col("_lo") + 1).alias("span"), F.max("_len").alias("len")).first()
+    meta = ranges.agg(
+        F.max(F.col("_hi") - F.col("_lo") + 1).alias("span"),
+        F.max("_len").alias("len"),
+        F.count(F.lit(1)).alias("entities"),
+    ).first()
     if meta is None or meta["span"] is None:
         return rows.drop("_tb").withColumn(ORD, F.lit(None).cast("long")), 0
     grid = ranges.select(*keys, "_lo", F.explode(F.sequence("_lo", "_hi")).alias("_tb"))
@@ -194,6 +202,9 @@ def with_ordinal(
     )
     scanned = prefix_scan(dense, keys, "_p", "_cum", lambda a, b: a + b, int(meta["span"]), ("_tb", "_n"))
     offsets = scanned.where(F.col("_n") > 0).select(*keys, "_tb", (F.col("_cum") - F.col("_n")).alias("_off"))
+    # At most one offset row per entity and bucket: a bound known before the join.
+    if int(meta["entities"]) * int(meta["span"]) * BYTES_PER_OFFSET_ROW <= BROADCAST_BOUND_BYTES:
+        offsets = F.broadcast(offsets)
     local = Window.partitionBy(*keys, "_tb").orderBy(time_col)
     out = rows.join(offsets, [*keys, "_tb"], "inner").withColumn(
         ORD, F.col("_off") + F.row_number().over(local) - 1
