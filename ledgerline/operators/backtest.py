@@ -163,7 +163,7 @@ def equity_curve(daily: DataFrame, run_keys: Sequence[str], block_rows: int = S.
     Drawdown starts from the first equity value, not from 1.0.
     """
     keys = list(run_keys)
-    ordered, max_rows = S.with_ordinal(daily, keys, TIME, block_rows)
+    ordered, max_rows, entities = S.with_ordinal_info(daily, keys, TIME, block_rows)
     df = S.with_blocks(ordered, block_rows)
     running = S.block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns(
@@ -191,7 +191,7 @@ def equity_curve(daily: DataFrame, run_keys: Sequence[str], block_rows: int = S.
             F.least(e["lo"], F.when(pos, e["p"] * l["lo"]).otherwise(e["p"] * l["hi"])).alias("lo"),
         )
 
-    carry = S.block_carry(summary, keys, "_c", compose, S.n_blocks(max_rows, block_rows))
+    carry = S.block_carry(summary, keys, "_c", compose, S.n_blocks(max_rows, block_rows), entities)
     out = df.join(carry, [*keys, S.BLK], "left")
     p = F.coalesce(F.col("_c.p"), F.lit(1.0))
     local_peak = F.when(p >= 0, p * F.col("_lmax")).otherwise(p * F.col("_lmin"))

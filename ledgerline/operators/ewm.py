@@ -51,6 +51,7 @@ def trailing_ema(
     spans: Sequence[int],
     n_blocks: int,
     block_rows: int = S.DEFAULT_BLOCK_ROWS,
+    entities: int | None = None,
 ) -> DataFrame:
     """Add ``_ema_<span>`` for every span.
 
@@ -100,7 +101,7 @@ def trailing_ema(
             ]
         )
 
-    carry = S.block_carry(summary, keys, "_aff", compose, n_blocks)
+    carry = S.block_carry(summary, keys, "_aff", compose, n_blocks, entities)
     out = df.join(carry, [*keys, S.BLK], "left")
     cols = {}
     for span, c in decays.items():

@@ -70,7 +70,7 @@ def price_features(panel: Panel, planted_lookahead: bool = False, keep_extremes:
             "next_return": ratio_minus_one(F.lead(px, 1).over(w), px),
         }
     )
-    df = trailing_ema(df, keys, "Price", EMA_SPANS, panel.n_blocks, panel.block_rows)
+    df = trailing_ema(df, keys, "Price", EMA_SPANS, panel.n_blocks, panel.block_rows, panel.entities)
     ema = {span: F.col(ema_column_name(span)) for span in EMA_SPANS}
     derived = {
         "volatility_ratio_5d_20d": F.try_divide("volatility_5d", "volatility_20d"),

@@ -175,6 +175,18 @@ def with_ordinal(
     ``(keys, time_col)`` must be unique.  Returns the frame and the largest
     entity length (one scalar, used to size later scans).
     """
+    out, max_rows, _ = with_ordinal_info(df, keys, time_col, block_rows, bucket_ticks)
+    return out, max_rows
+
+
+def with_ordinal_info(
+    df: DataFrame,
+    keys: Sequence[str],
+    time_col: str,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+    bucket_ticks: int | None = None,
+) -> tuple[DataFrame, int, int]:
+    """:func:`with_ordinal` plus the number of entities (a bound for carry tables)."""
     keys = list(keys)
     dtype = df.schema[time_col].dataType
     width = bucket_ticks or default_bucket_ticks(dtype, block_rows)
@@ -191,7 +203,7 @@ def with_ordinal(
         F.count(F.lit(1)).alias("entities"),
     ).first()
     if meta is None or meta["span"] is None:
-        return rows.drop("_tb").withColumn(ORD, F.lit(None).cast("long")), 0
+        return rows.drop("_tb").withColumn(ORD, F.lit(None).cast("long")), 0, 0
     grid = ranges.select(*keys, "_lo", F.explode(F.sequence("_lo", "_hi")).alias("_tb"))
     dense = grid.join(counts, [*keys, "_tb"], "left").select(
         *keys,
@@ -209,7 +221,7 @@ def with_ordinal(
     out = rows.join(offsets, [*keys, "_tb"], "inner").withColumn(
         ORD, F.col("_off") + F.row_number().over(local) - 1
     )
-    return out.drop("_tb", "_off"), int(meta["len"])
+    return out.drop("_tb", "_off"), int(meta["len"]), int(meta["entities"])
 
 
 def with_blocks(df: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
@@ -252,12 +264,16 @@ def full_rolling(agg: Callable[[Column], Column], col: Column, n: int, keys: Seq
     return F.when(F.count(col).over(w) == n, agg(col).over(w))
 
 
+BYTES_PER_CARRY_ROW = 512  # conservative: keys + a struct of a few dozen doubles
+
+
 def block_carry(
     summary: DataFrame,
     keys: Sequence[str],
     value: str,
     combine: Combine,
     n_blocks: int,
+    entities: int | None = None,
 ) -> DataFrame:
     """Exclusive carry per block: the combination of all earlier blocks.
 
@@ -266,7 +282,12 @@ def block_carry(
     identity).
     """
     inc = prefix_scan(summary, keys, BLK, value, combine, n_blocks)
-    return inc.select(*keys, (F.col(BLK) + 1).alias(BLK), F.col(value))
+    carry = inc.select(*keys, (F.col(BLK) + 1).alias(BLK), F.col(value))
+    # One row per entity and block: broadcast only when that bound is small;
+    # otherwise the planner / AQE choose the join at run time.
+    if entities and entities * n_blocks * BYTES_PER_CARRY_ROW <= BROADCAST_BOUND_BYTES:
+        carry = F.broadcast(carry)
+    return carry
 
 
 def n_blocks(max_rows: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> int:

@@ -37,6 +37,7 @@ class Panel:
     keys: tuple[str, ...] = (ENTITY,)
     time_col: str = TIME
     block_rows: int = S.DEFAULT_BLOCK_ROWS
+    entities: int = 0  # number of entities (0 = unknown)
 
     def with_df(self, df: DataFrame) -> Panel:
         return replace(self, df=df)
@@ -64,11 +65,11 @@ def smoothed_panel(
     not part of the panel, so ``Price`` is never null.
     """
     raw = raw.where(F.col(level).isNotNull())
-    ordered, max_rows = S.with_ordinal(raw, keys, time_col, block_rows)
+    ordered, max_rows, entities = S.with_ordinal_info(raw, keys, time_col, block_rows)
     blocked = S.with_halo(ordered, back=smooth_rows - 1, block_rows=block_rows)
     price = F.avg(level).over(S.rows_window(keys, smooth_rows))
     df = blocked.withColumn("Price", price).where(F.col(S.OWN)).drop(level, S.BLK, S.OWN)
-    return Panel(df=df, max_rows=max_rows, keys=keys, time_col=time_col, block_rows=block_rows)
+    return Panel(df=df, max_rows=max_rows, keys=keys, time_col=time_col, block_rows=block_rows, entities=entities)
 
 
 def order_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
