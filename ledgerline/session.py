@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +56,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once for each application.
+
+    The archive is only staged on the driver; Spark itself serves it to the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerline-package-"), "ledgerline.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._ledgerline_shipped = True
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path inside the shared checkpoint folder (for models and result tables)."""
     base = ensure_checkpoint_dir(spark)
