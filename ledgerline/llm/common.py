@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import ensure_checkpoint_dir, ship_package
 
 #: Bytes of text that one vectorised step works on; a longer single text is a step of its own.
 STEP_BYTES = 1 << 20
@@ -51,8 +53,10 @@ def fold(id_column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def steps(batches: Iterator[pa.RecordBatch], text_index: int, limit: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Split Arrow batches into steps of about ``limit`` text bytes.
+def steps(
+    batches: Iterator[pa.RecordBatch], text_index: int, limit: int = STEP_BYTES, max_rows: int = 4096
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Split Arrow batches into steps of about ``limit`` text bytes and at most ``max_rows`` rows.
 
     Yields ``(rows, data, offsets)``: the rows of the step, their texts' UTF-8
     bytes one after the other, and where each text begins (one offset more than rows).
@@ -72,11 +76,39 @@ def steps(batches: Iterator[pa.RecordBatch], text_index: int, limit: int = STEP_
         at = 0
         while at < n:
             end = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
-            end = min(max(end, at + 1), n)
+            end = min(max(end, at + 1), at + max_rows, n)
             yield batch.slice(at, end - at), data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
             at = end
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def annotated(docs: DataFrame, text: str, added: T.StructType, make: Callable[[], Callable], max_rows: int = 4096) -> DataFrame:
+    """``docs`` with the columns ``added``; columns of the same names are replaced.
+
+    ``make()`` runs once a task and returns ``step(rows, data, offsets)``, which
+    gives the new columns of one step (see ``steps``) as Arrow arrays.
+    """
+    base = docs.drop(*[name for name in added.names if name != text])
+    schema = T.StructType([f for f in base.schema.fields if f.name not in added.names] + added.fields)
+    kept = [name for name in base.columns if name not in added.names]
+    types = [to_arrow_type(f.dataType) for f in added.fields]
+
+    def run(batches):
+        step = make()
+        index = base_columns.index(text)
+        for rows, data, offsets in steps(batches, index, max_rows=max_rows):
+            new = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, type=t) for c, t in zip(step(rows, data, offsets), types)]
+            yield pa.RecordBatch.from_arrays([rows.column(base_columns.index(c)) for c in kept] + new, names=schema.names)
+
+    base_columns = list(base.columns)
+    return map_arrow(base, run, schema)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of splitmix64, elementwise."""
     x = x.astype(np.uint64, copy=True)

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from ledgerline.llm.op7_quality_rules import op7_quality_rules
+from ledgerline.llm.op8_language_id import op8_language_id
+from ledgerline.llm.op9_byte_bpe import op9_byte_bpe
 
 QUERIES = {
     "op7_quality_rules": op7_quality_rules,
+    "op8_language_id": op8_language_id,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 SQL: dict[str, str] = {}
