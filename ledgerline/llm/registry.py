@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerline.llm.op4_url_filter import op4_url_filter
 from ledgerline.llm.op5_line_crf import op5_line_crf
+from ledgerline.llm.op6_toxicity import op6_toxicity
 from ledgerline.llm.op7_quality_rules import op7_quality_rules
 from ledgerline.llm.op8_language_id import op8_language_id
 from ledgerline.llm.op9_byte_bpe import op9_byte_bpe
@@ -11,6 +12,7 @@ from ledgerline.llm.op9_byte_bpe import op9_byte_bpe
 QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_line_crf": op5_line_crf,
+    "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op9_byte_bpe": op9_byte_bpe,
