@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.op3_minhash_dedup import op3_minhash_dedup
 from ledgerline.llm.op4_url_filter import op4_url_filter
 from ledgerline.llm.op5_line_crf import op5_line_crf
 from ledgerline.llm.op6_toxicity import op6_toxicity
@@ -10,6 +11,7 @@ from ledgerline.llm.op8_language_id import op8_language_id
 from ledgerline.llm.op9_byte_bpe import op9_byte_bpe
 
 QUERIES = {
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_line_crf": op5_line_crf,
     "op6_toxicity": op6_toxicity,
