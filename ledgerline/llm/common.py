@@ -150,11 +150,23 @@ class RollingHash:
         return mix(raw ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
     def windows(self, k: int) -> np.ndarray:
-        """Hash of every window of ``k`` bytes."""
+        """Hash of every window of ``k`` bytes, the same as ``of`` gives."""
         n = len(self.prefix) - k
         if n <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.prefix[k:] - self.prefix[:n]) * self.unpower[:n])
+        return mix((self.prefix[k:] - self.prefix[:n]) * self.unpower[:n] ^ np.uint64(k * 0xD6E8FEB86659FD93 & _MASK))
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Lower case of ASCII and of the two-byte letters U+00C0 to U+00DE."""
+    out = _LOWER[data]
+    second = np.flatnonzero((data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)) + 1
+    out[second] += 32
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
