@@ -8,13 +8,15 @@ the earliest dart of every coordinate.  Two texts agree in a coordinate with
 probability equal to their weighted Jaccard similarity, and only cells of the
 text are ever looked at.  Ranks are thrown unit by unit until no coordinate is empty.
 
-Bands of signature coordinates give candidate buckets.  Each member of a bucket is
-paired with the bucket's first text; pairs are verified by their exact weighted
-Jaccard similarity (0.8 or more).  Buckets whose members then still lie in several
-components are gone through again: every member outside the bucket's largest
-component is paired with all members of other components.  So each pair that
-shares a bucket is either verified or already connected; no group is cut off,
-and pairs within a component are never listed.
+Bands of signature coordinates give candidate buckets.  In each bucket a leader
+is paired with the members of other components, the members with most
+bucket mates leading first; pairs are verified by their exact weighted Jaccard
+similarity (0.8 or more).  Buckets that still hold several components are led
+again, by the best member outside their main component (``PASSES`` passes), and buckets of at
+most ``SMALL`` texts have all pairs across components verified.  The work is
+linear in a bucket's size, however large a group of copies is.  Every verified
+link is kept, and every text is compared with the leaders of all its buckets; in
+larger buckets, two texts that are both unlike all their leaders are not compared with each other.
 
 Equal texts are one node, so copies never meet in a bucket (a text is known by
 its 64-bit hash).  Null counts as the empty text.  Texts without words are only
@@ -36,6 +38,8 @@ WORDS = 5
 SIMILARITY = 0.8
 #: 25 bands of 5 coordinates miss a pair of similarity 0.8 with probability 5e-5.
 BANDS, ROWS = 25, 5
+#: Passes of leaders over the buckets, and the size up to which a bucket's pairs are all verified.
+PASSES, SMALL = 3, 10
 
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, n + 1), dtype=float) for n in range(16)])
 
@@ -168,35 +172,65 @@ def _cells_of(buffer: pa.Buffer) -> np.ndarray:
     return cells(data, np.array([0, len(data)]))[0]
 
 
-def classes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def classes(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    passes: int = PASSES,
+    small: int = SMALL,
+) -> DataFrame:
     """(node, component) of every text that is near to a different one."""
     nodes = texts(docs, id_column, text)
-    # one copy of every text that shares a bucket with another text
-    member = stored(buckets(nodes, bands, rows), "buckets")
-    first = member.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").drop("z")
-    member = member.join(first, "key")
-    pairs = stored(member.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
-    near = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "near-nodes")
+    every = stored(buckets(nodes, bands, rows), "buckets")
+    sizes = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    member = every.join(sizes, "key")
+    # texts that meet many others lead: in a group of copies this is the original rather than a chance copy
+    reach = member.groupBy("node").agg(F.sum("size").alias("reach"))
+    member = stored(member.join(reach, "node"), "members")
+    near = member.select("node").distinct()
     once = nodes.join(near, "node").groupBy("node").agg(F.first("text").alias("text"))
-    links = stored(verified(pairs, once, similarity), "links")
-    found = stored(connected_components(links), "components")
-    more = _across(member, found, pairs)
-    if more is not None:
-        links = links.unionByName(verified(more, once, similarity))
+
+    own = member.withColumn("component", F.col("node"))
+    tested = links = found = None
+    for turn in range(passes):
+        pairs = _led(own) if turn != 1 else _led(own).unionByName(_across(own, small)).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        if turn and pairs.isEmpty():
+            break
+        fresh = stored(verified(pairs, once, similarity), "links")
+        links = fresh if links is None else links.unionByName(fresh)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         found = stored(connected_components(links), "components")
+        own = member.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return found
 
 
-def _across(member: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame | None:
-    """Pairs that share a bucket but no component and were not tested; None if there are none."""
-    own = member.select("key", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    per = own.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    mixed = stored(own.join(main, "key").select("key", "node", "component", F.col("main.component").alias("main")), "mixed-buckets")
-    some = mixed.where("component <> main").select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-    pairs = some.join(mixed, "key").where("component <> cx").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    return None if pairs.isEmpty() else pairs
+def _led(own: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of each bucket's leader and its members of other components.
+
+    The leader is the member with the greatest reach outside the bucket's most
+    frequent component (at first, when every text is a component, outside none).
+    """
+    per = own.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("reach", "node")).alias("lead"))
+    best = F.max(F.struct("n", "component")).alias("main")
+    main = per.groupBy("key").agg(best, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    outside = per.join(main, "key").where((F.col("component") != F.col("main.component")) | (F.col("main.n") == 1))
+    lead = outside.groupBy("key").agg(F.max(F.struct("lead", "component")).alias("x"))
+    lead = lead.select("key", F.col("x.lead.node").alias("leader"), F.col("x.component").alias("led"))
+    pairs = own.join(lead, "key").where("component <> led")
+    return pairs.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+
+
+def _across(own: DataFrame, small: int) -> DataFrame:
+    """All pairs of different components in the buckets of at most ``small`` texts."""
+    few = own.where(F.col("size") <= small).select("key", "node", "component")
+    other = few.select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
+    return few.join(other, "key").where("node < x and component <> cx").select(F.col("node").alias("a"), F.col("x").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
