@@ -162,8 +162,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
 
     one = nodes.select("node", "text")
-    rows = pairs.join(one.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
-    rows = rows.join(one.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").select("a", "b", "left", "right")
+    rows = pairs.hint("merge").join(one.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    rows = rows.hint("merge").join(one.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").select("a", "b", "left", "right")
     return map_arrow(rows, run, "a long, b long")
 
 
@@ -190,8 +190,9 @@ def classes(
     # texts that meet many others lead: in a group of copies this is the original rather than a chance copy
     reach = member.groupBy("node").agg(F.sum("size").alias("reach"))
     member = stored(member.join(reach, "node"), "members")
+    # one text of each node that shares a bucket; copies are dropped before the shuffle, and the plan is the same at every size
     near = member.select("node").distinct()
-    once = nodes.join(near, "node").groupBy("node").agg(F.first("text").alias("text"))
+    once = stored(nodes.groupBy("node").agg(F.first("text").alias("text")).hint("merge").join(near, "node"), "near-texts")
 
     own = member.withColumn("component", F.col("node"))
     tested = links = found = None
