@@ -37,14 +37,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+#: Spark then deletes the shuffle files of a query when it ends; the stored rows do not need them any more.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -185,9 +185,14 @@ def annotate(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang:
     ).drop("_text", "_classes", "_common", "_chars", "_near")
 
 
-def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    return annotate(docs, rules).where("kept").select(*docs.columns)
+def keep(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that pass, with the columns of ``docs`` as they were, whatever their names."""
+    names = docs.columns
+    own = [f"_column{i}" for i in range(len(names))]
+    judged = annotate(docs.toDF(*own), rules, own[names.index(text)], own[names.index(lang)])
+    # a row number keeps the optimiser from moving the filter below the counts, where they would be computed over and over
+    judged = judged.select(*own, "kept", F.monotonically_increasing_id().alias("_row"))
+    return judged.where("kept and _row >= 0").select(*own).toDF(*names)
 
 
 RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]

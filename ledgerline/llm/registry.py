@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.op1_suffix_dedup import op1_suffix_dedup
 from ledgerline.llm.op2_decontaminate import op2_decontaminate
 from ledgerline.llm.op3_minhash_dedup import op3_minhash_dedup
 from ledgerline.llm.op4_url_filter import op4_url_filter
@@ -12,6 +13,7 @@ from ledgerline.llm.op8_language_id import op8_language_id
 from ledgerline.llm.op9_byte_bpe import op9_byte_bpe
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_url_filter": op4_url_filter,
