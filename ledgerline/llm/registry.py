@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.op10_hmm_lm import op10_hmm_lm
 from ledgerline.llm.op1_suffix_dedup import op1_suffix_dedup
 from ledgerline.llm.op2_decontaminate import op2_decontaminate
 from ledgerline.llm.op3_minhash_dedup import op3_minhash_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_language_id": op8_language_id,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_hmm_lm": op10_hmm_lm,
 }
 
 SQL: dict[str, str] = {}
