@@ -39,12 +39,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import STEP_BYTES, UNBASE, _BYTE_VALUES, RollingHash, map_arrow, mix, powers, steps, stored, table
+from ledgerline.llm.common import BASE, STEP_BYTES, UNBASE, _BYTE_VALUES, RollingHash, map_arrow, mix, powers, steps, stored, table
 
 LENGTH = 200
-WIDE = 4096
+#: Contexts that one task may sort as one bucket (about 0.5 KB each).
+WIDE = 200_000
 #: Contexts sorted at a time, and anchors a task holds before it compares them.
-TOGETHER, HELD = 6_000, 1_000_000
+TOGETHER, HELD = 40_000, 1_000_000
 
 _NO_ID = -(1 << 63)
 
@@ -206,21 +207,32 @@ def _string_batch(first: list[np.ndarray], rest: list[np.ndarray]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(len(doc), pa.binary()), pa.array(h2.view(np.int64))], names=names)
 
 
-def bucket_spans(bucket, doc, salt, pos, before, n, contexts, length: int, keep: str) -> np.ndarray:
+def _sheet(contexts: pa.Array, before: np.ndarray, lead: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """One row a context, its anchor in column ``lead``, 0 where there is no text; and the bytes from the anchor on."""
+    m = len(contexts)
+    edges = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset : contexts.offset + m + 1].astype(np.int64)
+    data = np.frombuffer(contexts.buffers()[2], np.uint8)
+    sheet = np.zeros((m, width), dtype=np.uint8)
+    flat = sheet.reshape(-1)
+    for a in range(0, m, 8192):
+        b = min(a + 8192, m)
+        size = edges[a + 1 : b + 1] - edges[a:b]
+        shift = np.arange(a, b) * width + lead - before[a:b] - edges[a:b]
+        flat[np.repeat(shift, size) + np.arange(edges[a], edges[b])] = data[edges[a] : edges[b]]
+    return sheet, np.diff(edges) - before
+
+
+def bucket_spans(bucket, doc, salt, pos, before, contexts: pa.Array, length: int, keep: str) -> np.ndarray:
     """Smallest and largest start offset before the anchor of a repeated string, per context (-1: none).
 
     ``bucket`` numbers are ascending.  Offset a stands for the string that begins a bytes before the anchor.
     """
     m, lead = len(bucket), length - length // 4
-    sheet = np.zeros((m, lead + length), dtype=np.uint8)
-    after = np.empty(m, np.int64)
-    for i, c in enumerate(contexts):
-        raw = np.frombuffer(c, np.uint8)
-        sheet[i, lead - before[i] : lead - before[i] + len(raw)] = raw
-        after[i] = len(raw) - before[i]
-    prefix = np.zeros((m, lead + length + 1), dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[sheet] * powers(lead + length), axis=1, out=prefix[:, 1:])
-    back = powers(lead + 1, UNBASE)
+    sheet, after = _sheet(contexts, before, lead, lead + length)
+    string = np.zeros(m, dtype=np.uint64)
+    for j in range(length):
+        string = string * np.uint64(BASE) + _BYTE_VALUES[sheet[:, lead + j]]
+    high_power = powers(length)[length - 1]
     # suffix order of the anchors themselves: bucket, then bytes
     words = np.ascontiguousarray(np.pad(sheet[:, lead:], ((0, 0), (0, (-length) % 8)))).view(">u8")
     order = np.lexsort([*words.T[::-1], bucket])
@@ -231,12 +243,12 @@ def bucket_spans(bucket, doc, salt, pos, before, n, contexts, length: int, keep:
     for a in range(lead + 1):
         if a:  # induced order of the suffixes one byte further left
             order = order[np.argsort((shelf + sheet[:, lead - a])[order], kind="stable")]
+            string = (string - _BYTE_VALUES[sheet[:, lead - a + length]]) * np.uint64(UNBASE) + _BYTE_VALUES[sheet[:, lead - a]] * high_power
         held = order[(before[order] >= a) & (after[order] >= length - a)]
         if len(held) < 2:
             continue
-        string = (prefix[held, lead - a + length] - prefix[held, lead - a]) * back[lead - a]
         new = np.ones(len(held), bool)
-        new[1:] = (string[1:] != string[:-1]) | (bucket[held[1:]] != bucket[held[:-1]])
+        new[1:] = (string[held[1:]] != string[held[:-1]]) | (bucket[held[1:]] != bucket[held[:-1]])
         heads = np.flatnonzero(new)
         size = np.diff(np.append(heads, len(held)))
         if keep == "none":
@@ -255,8 +267,10 @@ def _sorted_buckets(contexts: DataFrame, length: int, keep: str) -> DataFrame:
     def solve(rows: pa.Table):
         ha = rows.column("ha").to_numpy()
         bucket = np.concatenate([[0], np.cumsum(ha[1:] != ha[:-1])])
-        doc, salt, pos, before, n = (rows.column(c).to_numpy() for c in ("doc", "salt", "pos", "before", "n"))
-        low, high = bucket_spans(bucket, doc, salt, pos, before, n, rows.column("context").to_pylist(), length, keep)
+        doc, salt, pos, before = (rows.column(c).to_numpy() for c in ("doc", "salt", "pos", "before"))
+        contexts = rows.column("context").combine_chunks()
+        contexts = contexts if isinstance(contexts, pa.Array) else pa.concat_arrays(contexts.chunks)
+        low, high = bucket_spans(bucket, doc, salt, pos, before, contexts, length, keep)
         hit = high >= 0
         d, s, a, b = merged(doc[hit], salt[hit], pos[hit] - high[hit], pos[hit] - low[hit] + length)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (d, s, a, b)], names=["doc", "salt", "begin", "end"])
