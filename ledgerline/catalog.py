@@ -561,7 +561,11 @@ def _case_map(col: str, mapping: dict[str, str], fallback: str) -> str:
     return f"CASE {col} {arms} ELSE {fallback} END"
 
 
-TITLE_SQL = "list_aggregate(list_transform(string_split({c}, '_'), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ')"
+TITLE_SQL = (
+    "array_to_string(list_transform(range(1, length({c}) + 1), lambda i: CASE WHEN substr({c}, i, 1) = '_' THEN ' ' "
+    "WHEN i > 1 AND regexp_matches(substr({c}, i - 1, 1), '\\p{{L}}') THEN lower(substr({c}, i, 1)) "
+    "ELSE upper(substr({c}, i, 1)) END), '')"
+)
 
 
 @register(
@@ -735,7 +739,8 @@ WINDOW w AS (PARTITION BY strategy_key, split ORDER BY "Date" ROWS BETWEEN 62 PR
     ),
 )
 def q_rolling_sharpe(spark, sf_dir):
-    r = RP.rolling_sharpe(rule_curves(spark, sf_dir), RUN, 63)
+    curves = BT.portfolio_daily_returns(rule_frames(spark, sf_dir), RUN, keep_ordinal=True)
+    r = RP.rolling_sharpe(curves, RUN, 63)
     return r.select(*RUN, "Date", *r6("rolling_sharpe"))
 
 

@@ -21,18 +21,18 @@ def ratio_minus_one(a: str | Column, b: str | Column) -> Column:
 
 
 def positive_flag(c: str | Column) -> Column:
-    """1 when ``c > 0`` else 0; null counts as 0 (pandas ``(x > 0).astype(int)``)."""
-    return F.when(col(c) > 0, F.lit(1)).otherwise(F.lit(0))
+    """1 when ``c > 0`` else 0; null and NaN count as 0 (pandas ``(x > 0).astype(int)``)."""
+    return F.when((nan_to_null(c) > 0), F.lit(1)).otherwise(F.lit(0))
 
 
 def at_least_flag(c: str | Column, threshold: float | Column) -> Column:
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return F.when(col(c) >= t, F.lit(1)).otherwise(F.lit(0))
+    return F.when(nan_to_null(c) >= t, F.lit(1)).otherwise(F.lit(0))
 
 
 def nan_to_null(c: str | Column) -> Column:
     """NaN → null; Spark orders NaN above every number, pandas treats it as missing."""
-    return F.nanvl(col(c), F.lit(None).cast("double"))
+    return F.nanvl(col(c).cast("double"), F.lit(None).cast("double"))
 
 
 def guarded_ratio(num: str | Column, den: str | Column) -> Column:

@@ -9,11 +9,13 @@ then equity = cumulative product of ``1 + r`` and drawdown against the
 running maximum, computed as blocked prefix scans partitioned by run, never
 by a single partition.
 
-Threshold sweeps do not multiply rows by thresholds: every row emits at most
-four events at positions of the sorted threshold grid ("difference array"),
-and a prefix sum over the grid per run and day yields exposure, gross
-return and turnover for all thresholds at once.  Costs enter linearly at the
-daily level (net = gross - cost * turnover).
+Threshold sweeps do not multiply rows by thresholds: a row is long at the
+thresholds below its position in the sorted grid and trades between its own and the
+previous position.  Counts per run, day and grid position, summed from the
+highest position down, yield exposure, gross return and turnover for all
+thresholds at once; returns are only ever added, so a threshold that selects
+nothing has a return of exactly 0.  Costs enter linearly at the daily level
+(net = gross - cost * turnover).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import SQRT_YEAR, TRADING_DAYS_PER_YEAR, at_least_flag, guarded_ratio
+from ledgerline.functions.columns import SQRT_YEAR, TRADING_DAYS_PER_YEAR, at_least_flag, guarded_ratio, nan_to_null, positive_flag
 from ledgerline.plans import series as S
 
 # The reference's backtest parameters.
@@ -99,33 +101,54 @@ def long_cash_frame(
     cost_per_trade: float = COST_PER_TRADE,
     run_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``Date, index_name, next_return, p_up`` -> row-level long/cash returns."""
-    df = predictions.withColumn("signal", at_least_flag("p_up", threshold))
+    """``Date, index_name, next_return, p_up`` -> row-level long/cash returns.
+
+    Rows without a score (null or NaN) are not part of the run (F5).
+    """
+    df = scored(predictions).withColumn("signal", at_least_flag("p_up", threshold))
     df = add_returns(with_trades(df, run_keys), cost_per_trade)
     return df.withColumns(
         {"threshold": F.lit(float(threshold)), "cost_per_trade": F.lit(float(cost_per_trade))}
     )
 
 
+def scored(predictions: DataFrame) -> DataFrame:
+    """the rows that have a score."""
+    return predictions.withColumn("p_up", nan_to_null("p_up")).where(F.col("p_up").isNotNull())
+
+
 def rule_signals(dataset: DataFrame) -> DataFrame:
-    """The five rule signals as one long table keyed by ``strategy_key``."""
+    """The five rule signals, one column each."""
     sig = {
         "buy_and_hold": F.lit(1),
         "cash": F.lit(0),
-        "previous_day_direction": F.when(F.col("return_1d") > 0, 1).otherwise(0),
-        "price_above_trailing_ema_20": F.when(F.col("price_vs_trailing_ema_20") > 0, 1).otherwise(0),
-        "positive_20d_momentum": F.when(F.col("return_20d") > 0, 1).otherwise(0),
+        "previous_day_direction": positive_flag("return_1d"),
+        "price_above_trailing_ema_20": positive_flag("price_vs_trailing_ema_20"),
+        "positive_20d_momentum": positive_flag("return_20d"),
     }
-    wide = dataset.select(TIME, ENTITY, "split", "next_return", *[v.alias(k) for k, v in sig.items()])
-    return wide.unpivot([TIME, ENTITY, "split", "next_return"], list(RULES), "strategy_key", "signal")
+    return dataset.select(TIME, ENTITY, "split", "next_return", *[v.alias(k) for k, v in sig.items()])
 
 
 def rule_strategy_frames(
     dataset: DataFrame, splits: Sequence[str] = ("validation", "test"), cost_per_trade: float = COST_PER_TRADE
 ) -> DataFrame:
     """P14 + P2 for every rule and split in one plan, keyed by ``(strategy_key, split)``."""
-    rows = rule_signals(dataset.where(F.col("split").isin(list(splits))))
-    rows = add_returns(with_trades(rows, ["strategy_key", "split"]), cost_per_trade)
+    # rows are numbered once, wide; signals and trades of the rules become rows together
+    wide = with_previous(rule_signals(dataset.where(F.col("split").isin(list(splits)))), ["split", ENTITY], RULES)
+    both = F.array(
+        *[
+            F.struct(
+                F.lit(k).alias("strategy_key"),
+                F.col(k).alias("signal"),
+                F.coalesce(F.abs(F.col(k) - F.col(f"_prev_{k}")), F.col(k)).alias("trade"),
+            )
+            for k in RULES
+        ]
+    )
+    rows = wide.select(TIME, ENTITY, "split", "next_return", F.explode(both).alias("_r")).select(
+        TIME, ENTITY, "split", "next_return", "_r.*"
+    )
+    rows = add_returns(rows, cost_per_trade)
     return rows.withColumns(
         {
             "threshold": F.lit(None).cast("double"),
@@ -154,16 +177,29 @@ def daily_portfolio(frame: DataFrame, run_keys: Sequence[str]) -> DataFrame:
     )
 
 
-def equity_curve(daily: DataFrame, run_keys: Sequence[str], block_rows: int = S.DEFAULT_BLOCK_ROWS) -> DataFrame:
+def equity_curve(
+    daily: DataFrame,
+    run_keys: Sequence[str],
+    block_rows: int = S.DEFAULT_BLOCK_ROWS,
+    numbered: tuple[int, int] | None = None,
+    keep_ordinal: bool = False,
+) -> DataFrame:
     """W9 + W10: equity, gross equity and drawdown per run (blocked prefix scan).
 
+    ``numbered`` (longest run, number of runs) says that ``daily`` already has the
+    day number; ``keep_ordinal`` leaves it in the result.  A day without a
+    return has no equity or drawdown and leaves the later days as they are.
+
     Within a block: running products and the running max/min of the local
     equity.  Across blocks the carry is ``(product, max, min)`` composed with
     ``max(M1, P1 * (M2 if P1 >= 0 else m2))`` - exact for any sign.
     Drawdown starts from the first equity value, not from 1.0.
     """
     keys = list(run_keys)
-    ordered, max_rows, entities = S.with_ordinal_info(daily, keys, TIME, block_rows)
+    if numbered is None:
+        ordered, max_rows, entities = S.with_ordinal_info(daily, keys, TIME, block_rows)
+    else:
+        ordered, (max_rows, entities) = daily, numbered
     df = S.with_blocks(ordered, block_rows)
     running = S.block_window(keys).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns(
@@ -172,13 +208,14 @@ def equity_curve(daily: DataFrame, run_keys: Sequence[str], block_rows: int = S.
             "_lg": F.product(1 + F.col("gross_strategy_return")).over(running),
         }
     )
-    df = df.withColumns({"_lmax": F.max("_lp").over(running), "_lmin": F.min("_lp").over(running)})
+    seen = F.when(F.col("strategy_return").isNotNull(), F.col("_lp"))
+    df = df.withColumns({"_lmax": F.max(seen).over(running), "_lmin": F.min(seen).over(running)})
     summary = df.groupBy(*keys, S.BLK).agg(
         F.struct(
-            F.max_by("_lp", S.ORD).alias("p"),
-            F.max_by("_lg", S.ORD).alias("g"),
-            F.max("_lp").alias("hi"),
-            F.min("_lp").alias("lo"),
+            F.coalesce(F.max_by("_lp", S.ORD), F.lit(1.0)).alias("p"),
+            F.coalesce(F.max_by("_lg", S.ORD), F.lit(1.0)).alias("g"),
+            F.max("_lmax").alias("hi"),
+            F.min("_lmin").alias("lo"),
         ).alias("_c")
     )
 
@@ -197,18 +234,20 @@ def equity_curve(daily: DataFrame, run_keys: Sequence[str], block_rows: int = S.
     local_peak = F.when(p >= 0, p * F.col("_lmax")).otherwise(p * F.col("_lmin"))
     out = out.withColumns(
         {
-            "equity": p * F.col("_lp"),
-            "gross_equity": F.coalesce(F.col("_c.g"), F.lit(1.0)) * F.col("_lg"),
+            "equity": F.when(F.col("strategy_return").isNotNull(), p * F.col("_lp")),
+            "gross_equity": F.when(
+                F.col("gross_strategy_return").isNotNull(), F.coalesce(F.col("_c.g"), F.lit(1.0)) * F.col("_lg")
+            ),
             "_peak": F.greatest(F.col("_c.hi"), local_peak),
         }
     )
     out = out.withColumn("drawdown", F.try_divide(F.col("equity"), F.col("_peak")) - 1)
-    return out.drop("_lp", "_lg", "_lmax", "_lmin", "_c", "_peak", S.ORD, S.BLK, S.OWN)
+    return out.drop("_lp", "_lg", "_lmax", "_lmin", "_c", "_peak", S.BLK, S.OWN, *([] if keep_ordinal else [S.ORD]))
 
 
-def portfolio_daily_returns(frame: DataFrame, run_keys: Sequence[str] = ()) -> DataFrame:
+def portfolio_daily_returns(frame: DataFrame, run_keys: Sequence[str] = (), keep_ordinal: bool = False) -> DataFrame:
     """W15 = A1 + W9 + W10."""
-    return equity_curve(daily_portfolio(frame, run_keys), run_keys)
+    return equity_curve(daily_portfolio(frame, run_keys), run_keys, keep_ordinal=keep_ordinal)
 
 
 def strategy_metrics(curve: DataFrame, run_keys: Sequence[str], gross: bool = True) -> DataFrame:
@@ -244,47 +283,53 @@ def sweep_daily(
     predictions: DataFrame,
     thresholds: Sequence[float],
     run_keys: Sequence[str] = (),
-) -> DataFrame:
+) -> tuple[DataFrame, tuple[int, int]]:
     """Daily exposure / gross / turnover for every threshold of a grid.
 
-    Output: ``run_keys, threshold, _pos, Date, exposure, gross_strategy_return,
-    turnover`` where ``_pos`` is the threshold's position in ``thresholds``.
+    Returns ``run_keys, threshold, _pos, Date, exposure, gross_strategy_return,
+    turnover`` with the number of the day in its run, and (longest run, number of runs).
+    ``_pos`` is the threshold's first position in ``thresholds``.
     """
     keys = list(run_keys)
     grid = sorted(set(float(t) for t in thresholds))
     m = len(grid)
     grid_arr = F.array(*[F.lit(t) for t in grid])
-    counted = predictions.withColumn("_cnt", F.size(F.filter(grid_arr, lambda th: th <= F.col("p_up"))))
+    counted = scored(predictions).withColumn("_cnt", F.size(F.filter(grid_arr, lambda th: th <= F.col("p_up"))))
     rows = with_previous(counted, [*keys, ENTITY], ["_cnt"])
     prev = F.col("_prev__cnt")
     lo = F.when(prev.isNull(), F.lit(0)).otherwise(F.least("_cnt", prev))
     hi = F.when(prev.isNull(), F.col("_cnt")).otherwise(F.greatest("_cnt", prev))
-    r = F.col("next_return")
+    # a row is long at positions 0 .. _cnt - 1 and trades at positions lo .. hi - 1
+    none = F.lit(None).cast("double")
     events = F.array(
-        F.struct(F.lit(0).alias("g"), F.lit(1).alias("s"), r.alias("x"), F.lit(0).alias("d")),
-        F.struct(F.col("_cnt").alias("g"), F.lit(-1).alias("s"), (-r).alias("x"), F.lit(0).alias("d")),
-        F.struct(lo.alias("g"), F.lit(0).alias("s"), F.lit(0.0).alias("x"), F.lit(1).alias("d")),
-        F.struct(hi.alias("g"), F.lit(0).alias("s"), F.lit(0.0).alias("x"), F.lit(-1).alias("d")),
+        F.struct((F.col("_cnt") - 1).alias("g"), F.lit(1).alias("s"), F.col("next_return").cast("double").alias("x"), F.lit(0).alias("d")),
+        F.struct((hi - 1).alias("g"), F.lit(0).alias("s"), none.alias("x"), F.lit(1).alias("d")),
+        F.struct((lo - 1).alias("g"), F.lit(0).alias("s"), none.alias("x"), F.lit(-1).alias("d")),
     )
-    ev = rows.select(*keys, TIME, F.explode(F.filter(events, lambda e: e["g"] < m)).alias("e"))
-    deltas = ev.groupBy(*keys, TIME, F.col("e.g").alias("_g")).agg(
+    ev = rows.select(*keys, TIME, F.explode(F.filter(events, lambda e: e["g"] >= 0)).alias("e"))
+    at_position = ev.groupBy(*keys, TIME, F.col("e.g").alias("_g")).agg(
         F.sum("e.s").alias("_ds"), F.sum("e.x").alias("_dx"), F.sum("e.d").alias("_dd")
     )
-    days = rows.groupBy(*keys, TIME).agg(F.count(F.lit(1)).alias("_n"))
-    dense = days.select(*keys, TIME, "_n", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("_g"))
-    joined = dense.join(deltas, [*keys, TIME, "_g"], "left")
-    w = Window.partitionBy(*keys, TIME).orderBy("_g").rowsBetween(Window.unboundedPreceding, 0)
-    pos_of = {t: i for i, t in enumerate(float(x) for x in thresholds)}
+    days = rows.groupBy(*keys, TIME).agg(F.count(F.lit(1)).alias("_n"), F.count("next_return").alias("_known"))
+    days, longest, runs = S.with_ordinal_info(days, keys, TIME)
+    dense = days.select(*keys, TIME, S.ORD, "_n", "_known", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("_g"))
+    joined = dense.join(at_position, [*keys, TIME, "_g"], "left")
+    w = Window.partitionBy(*keys, TIME).orderBy(F.desc("_g")).rowsBetween(Window.unboundedPreceding, 0)
+    pos_of: dict[float, int] = {}
+    for i, t in enumerate(thresholds):
+        pos_of.setdefault(float(t), i)
     pos_expr = F.element_at(F.array(*[F.lit(pos_of[t]) for t in grid]), F.col("_g") + 1)
-    return joined.select(
+    daily = joined.select(
         *keys,
         F.element_at(grid_arr, F.col("_g") + 1).alias("threshold"),
         pos_expr.alias("_pos"),
         TIME,
+        S.ORD,
         (F.sum(F.coalesce("_ds", F.lit(0))).over(w) / F.col("_n")).alias("exposure"),
-        (F.sum(F.coalesce("_dx", F.lit(0.0))).over(w) / F.col("_n")).alias("gross_strategy_return"),
+        F.try_divide(F.sum(F.coalesce("_dx", F.lit(0.0))).over(w), F.col("_known")).alias("gross_strategy_return"),
         (F.sum(F.coalesce("_dd", F.lit(0))).over(w) / F.col("_n")).alias("turnover"),
     )
+    return daily, (longest, runs)
 
 
 def with_costs(daily: DataFrame, costs: Sequence[float]) -> DataFrame:
@@ -303,8 +348,9 @@ def sweep_metrics(
 ) -> DataFrame:
     """Metrics for every (threshold, cost) of a grid (J4 / C7 as one plan)."""
     keys = [*run_keys, "threshold", "_pos", "cost_per_trade"]
-    daily = with_costs(sweep_daily(predictions, thresholds, run_keys), costs)
-    return strategy_metrics(equity_curve(daily, keys), keys, gross=gross)
+    daily, (longest, runs) = sweep_daily(predictions, thresholds, run_keys)
+    curve = equity_curve(with_costs(daily, costs), keys, numbered=(longest, runs * len(set(thresholds)) * len(costs)))
+    return strategy_metrics(curve, keys, gross=gross)
 
 
 def choose_threshold(

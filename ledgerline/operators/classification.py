@@ -11,10 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.columns import nan_to_null, positive_flag
+from ledgerline.plans import series as S
+
 METRICS = ("accuracy", "balanced_accuracy", "precision", "recall", "f1")
-AUC_BUCKETS = 256
-MAX_AUC_BUCKETS = 4096
-BUCKET_ROWS = 50_000  # target distinct scores per bucket for large inputs
+RANGE_ROWS = 50_000  # distinct scores of one range
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null: a null group is a group like any other."""
+    own = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(own, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def _zero_div(num: Column, den: Column) -> Column:
@@ -60,34 +70,29 @@ def classification_metrics(df: DataFrame, keys: Sequence[str], y_true: str, y_pr
     return metrics_from_counts(confusion_counts(df, keys, y_true, y_pred), keys)
 
 
-def roc_auc(df: DataFrame, keys: Sequence[str], y_true: str, score: str, buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, keys: Sequence[str], y_true: str, score: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Exact, tie-aware ROC-AUC per group (Mann-Whitney).
 
     ``AUC = sum_s pos(s) * (neg_below(s) + neg(s) / 2) / (P * N)``.  Rows are
     first collapsed to distinct scores per group (ties merge, so a hot score
-    is one row).  The prefix count of negatives below each score is split in
-    two: approximate-quantile buckets of the distinct scores (at most
-    ``buckets + 1`` per group, so the bucket-level prefix is a bounded
-    window) and a running sum inside each bucket.  Groups with one class
-    only give null.
+    is one row) and range-partitioned by group and score into ranges of about
+    ``range_rows``.  The negatives below a score are those of earlier ranges of its group,
+    a running sum over one row per range, and those before it in its own range.
+    Groups with one class only give null; a null group is a group; rows without a score are left out.
     """
     keys = list(keys)
     y = F.col(y_true).cast("long")
-    g = df.where(F.col(score).isNotNull()).groupBy(*keys, F.col(score).cast("double").alias("_s")).agg(
+    g = df.withColumn("_s", nan_to_null(score)).where(F.col("_s").isNotNull()).groupBy(*keys, "_s").agg(
         F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")
     )
-    if buckets is None:
-        # More buckets for more distinct scores, so a bucket stays near BUCKET_ROWS.
-        distinct = g.count()
-        buckets = int(min(MAX_AUC_BUCKETS, max(AUC_BUCKETS, distinct // BUCKET_ROWS)))
-    fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = g.groupBy(*keys).agg(F.percentile_approx("_s", fractions, 10 * buckets).alias("_cuts"))
-    tagged = g.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_s")))).drop("_cuts")
-    per_bucket = tagged.groupBy(*keys, "_b").agg(F.sum("_neg").alias("_bneg"))
+    g = S.keep(g)
+    n = max(1, -(-g.count() // range_rows))
+    tagged = S.keep(g.repartitionByRange(n, *keys, "_s").withColumn("_b", F.spark_partition_id()))
+    per_range = tagged.groupBy(*keys, "_b").agg(F.sum("_neg").alias("_bneg"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, "_b", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))
+    offsets = per_range.select(*keys, "_b", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = tagged.join(offsets, [*keys, "_b"]).withColumn(
+    ranked = null_safe_join(tagged, offsets, [*keys, "_b"]).withColumn(
         "_below", F.col("_off") + F.coalesce(F.sum("_neg").over(inside), F.lit(0))
     )
     agg = ranked.groupBy(*keys).agg(
@@ -106,7 +111,7 @@ def classification_report(
     m = classification_metrics(df, keys, y_true, y_pred)
     if score is None:
         return m
-    return m.join(roc_auc(df, keys, y_true, score), list(keys), "left")
+    return null_safe_join(m, roc_auc(df, keys, y_true, score), keys, "left")
 
 
 def baseline_predictions(dataset: DataFrame, splits: Sequence[str] = ("validation", "test")) -> DataFrame:
@@ -115,7 +120,7 @@ def baseline_predictions(dataset: DataFrame, splits: Sequence[str] = ("validatio
         "split",
         "target",
         F.lit(1).alias("baseline_majority_up"),
-        F.when(F.col("return_1d") > 0, 1).otherwise(0).alias("baseline_previous_day_direction"),
+        positive_flag("return_1d").alias("baseline_previous_day_direction"),
     )
     return rows.unpivot(
         ["split", "target"], ["baseline_majority_up", "baseline_previous_day_direction"], "model_key", "y_pred"
@@ -127,7 +132,7 @@ def minmax_scores(df: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
     keys = list(keys)
     if keys:
         bounds = df.groupBy(*keys).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
-        joined = df.join(bounds, keys)
+        joined = null_safe_join(df, bounds, keys)
     else:  # two scalars for the whole scored set
         lo, hi = df.agg(F.min(score), F.max(score)).first()
         joined = df.withColumns({"_lo": F.lit(lo), "_hi": F.lit(hi)})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import SQRT_YEAR
 from ledgerline.functions.labels import METRIC_LABELS, MODEL_LABELS, STRATEGY_LABELS
+from ledgerline.operators.classification import null_safe_join
 from ledgerline.plans import series as S
 
 
@@ -19,8 +20,10 @@ def _lookup(spark: SparkSession, mapping: dict[str, str], key: str, value: str)
 
 
 def title_case(c: str) -> F.Column:
-    """Unknown key -> words with capitals: ``replace('_', ' ')`` then title case."""
-    return F.initcap(F.regexp_replace(F.col(c), "_", " "))
+    """Unknown key -> words with capitals: ``_`` becomes a blank, every letter after a non-letter a capital."""
+    chars = F.split(F.replace(F.col(c), F.lit("_"), F.lit(" ")), "")
+    after_letter = lambda i: F.coalesce(F.get(chars, i - 1).rlike(r"\p{L}"), F.lit(False))
+    return F.array_join(F.transform(chars, lambda x, i: F.when(after_letter(i), F.lower(x)).otherwise(F.upper(x))), "")
 
 
 def add_labels(df: DataFrame, spark: SparkSession) -> DataFrame:
@@ -83,12 +86,12 @@ def instrument_exposure(frame: DataFrame) -> DataFrame:
 def rolling_sharpe(curve: DataFrame, run_keys: Sequence[str], window: int = 63) -> DataFrame:
     """Mean / std * sqrt(252) over a full trailing window; std 0 -> null.
 
-    Runs in halo blocks of the curve's own ordinal, so a long run never sits in
-    one task.
+    Runs in halo blocks of the curve's own ordinal (kept by ``equity_curve`` on
+    request, else numbered here), so a long run never sits in one task.
     """
     keys = list(run_keys)
-    ordered, _ = S.with_ordinal(curve, keys, "Date")
-    halo = S.with_halo(ordered, back=window - 1)
+    ordered = curve if S.ORD in curve.columns else S.with_ordinal(curve, keys, "Date")[0]
+    halo = S.with_halo(ordered, back=window - 1, block_rows=max(S.DEFAULT_BLOCK_ROWS, window))
     r = F.col("strategy_return")
     mean = S.full_rolling(F.avg, r, window, keys)
     std = S.full_rolling(F.stddev_samp, r, window, keys)
@@ -115,7 +118,7 @@ def density(df: DataFrame, value: str, bins: int, by: Sequence[str]) -> DataFram
     width = (hi - lo) / bins if hi > lo else 1.0
     h = histogram(df, value, bins, by)
     n = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    return h.join(n, list(by)).withColumn("density", F.col("count") / (F.col("_n") * F.lit(width))).drop("_n")
+    return null_safe_join(h, n, list(by)).withColumn("density", F.col("count") / (F.col("_n") * F.lit(width))).drop("_n")
 
 
 def chart_series(curves: DataFrame, spark: SparkSession, split: str, strategies: Sequence[str]) -> DataFrame:

@@ -17,16 +17,16 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
 }
 
 
 def get_session(master: str | None = None, app_name: str = "ledgerline", **conf: str) -> SparkSession:
-    """Return a session; local defaults only apply when building a new one."""
+    """Return a session; the defaults only apply to a local master that is named here, never to a submitted cluster job."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**LOCAL_DEFAULTS, **conf}.items():
+    local = (master or "").startswith("local") and not (master or "").startswith("local-cluster")
+    for key, value in {**(LOCAL_DEFAULTS if local else {}), **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -38,14 +38,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     The folder named by ``spark.checkpoint.dir`` wins.  Only when nothing is
-    configured (local runs and tests) a fresh folder under the system temp
-    directory is created.
+    configured and the master is local a fresh folder under the system temp
+    directory is created; on a cluster that is an error, because executors
+    do not share such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not configured and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         try:
@@ -74,9 +77,3 @@ def ship_package(spark: SparkSession) -> None:
                     out.write(path, os.path.relpath(path, os.path.dirname(root)))
     sc.addPyFile(archive)
     sc._ledgerline_shipped = True
-
-
-def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path inside the shared checkpoint folder (for models and result tables)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts) if not base.startswith("file:") else base + "/" + "/".join(parts)

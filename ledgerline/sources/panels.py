@@ -83,13 +83,17 @@ def order_panel_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bulk_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A market-wide context column with gaps (C2): one row per ship date."""
-    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_discount", "l_shipdate"])
-    return (
-        li.where((F.col("l_quantity") >= 49) & F.col("l_shipdate").isNotNull())
+    """A market-wide context column (C2): the mean discount of all lineitems of a ship date.
+
+    Gaps are planted after the aggregation: days whose number of lineitems is a multiple of four have no value.
+    """
+    li = read_table(spark, sf_dir, "lineitem", ["l_discount", "l_shipdate"])
+    daily = (
+        li.where(F.col("l_shipdate").isNotNull())
         .groupBy(F.to_date("l_shipdate").alias(TIME))
-        .agg(F.avg(nan_to_null("l_discount")).alias("bulk_discount"))
+        .agg(F.avg(nan_to_null("l_discount")).alias("bulk_discount"), F.count(F.lit(1)).alias("_lines"))
     )
+    return daily.select(TIME, F.when(F.col("_lines") % 4 != 0, F.col("bulk_discount")).alias("bulk_discount"))
 
 
 def order_panel(spark: SparkSession, sf_dir: str, with_context: bool = True, block_rows: int = S.DEFAULT_BLOCK_ROWS) -> Panel:

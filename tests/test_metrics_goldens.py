@@ -35,7 +35,7 @@ def test_roc_auc_ties_and_brute_force(spark):
     y = [rnd.randint(0, 1) for _ in range(300)]
     s = [rnd.randint(0, 40) / 40 for _ in range(300)]  # many ties
     df = _frame(spark, y, y, s)
-    got = CL.roc_auc(df, ["grp"], "y_true", "score", buckets=8).collect()[0].roc_auc
+    got = CL.roc_auc(df, ["grp"], "y_true", "score", range_rows=5).collect()[0].roc_auc
     pos = [a for a, t in zip(s, y) if t == 1]
     neg = [a for a, t in zip(s, y) if t == 0]
     u = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in itertools.product(pos, neg))

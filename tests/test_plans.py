@@ -24,7 +24,7 @@ def test_blocked_plans_never_use_a_single_partition(spark):
     for df in (
         rules,
         BT.portfolio_daily_returns(rules, C.RUN),
-        BT.sweep_daily(preds, BT.THRESHOLDS, ["split"]),
+        BT.sweep_daily(preds, BT.THRESHOLDS, ["split"])[0],
     ):
         plan = _plan(df)
         assert "SinglePartition" not in plan
