@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import RollingHash, annotated, fold, map_arrow, mix, steps, table, word_spans
+from ledgerline.llm.common import RollingHash, annotated, fold, map_arrow, mix, smallest_hashes, steps, table, word_spans
 
 MAX_DOCUMENTS = 4_000
 MAX_LINES = 2_000
@@ -217,7 +217,7 @@ def fit(bins: np.ndarray, row: np.ndarray, good: np.ndarray, rounds: int = 120,
 def training_sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     """(id, good, text) of at most ``limit`` labelled documents, chosen by a hash of the id."""
     known = labels.where("label is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # at most ``limit`` ids are sent to all
+    chosen = smallest_hashes(known, ["doc_id"], limit)  # at most ``limit`` ids are sent to all
     return docs.join(F.broadcast(chosen), "doc_id")
 
 
