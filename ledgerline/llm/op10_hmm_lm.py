@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import RollingHash, fold, map_arrow, mix, steps, stored, table, word_spans
+from ledgerline.llm.common import RollingHash, fold, map_arrow, mix, smallest_hashes, steps, stored, table, word_spans
 
 HEAD, TAIL, STATES, PASSES = 8192, 1024, 8, 2
 SAMPLE, SAMPLE_ROUNDS, SAMPLE_TOKENS = 400, 25, 2_000
 CHUNK_BYTES = 16 << 20
 #: Tokens whose recursion runs together in a task.
-TOGETHER = 2_000_000
+TOGETHER = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -75,8 +75,11 @@ def tokenised(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         def flush():
             chunk = base + count
             hashes = np.concatenate([h for _, h, _ in held])
-            words, number = np.unique(hashes, return_inverse=True)
-            number = number.astype("<i4")
+            words, number, often = np.unique(hashes, return_inverse=True, return_counts=True)
+            del hashes
+            rank = np.empty(len(words), "<i4")  # frequent words get small numbers, which pack well
+            rank[np.argsort(-often, kind="stable")] = np.arange(len(words))
+            words, number = words[np.argsort(rank)], rank[number]
             train = np.concatenate([np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), np.diff(b)) for rows, _, b in held])
             n = np.bincount(number[train], minlength=len(words))
             at = 0
@@ -127,18 +130,20 @@ class Vocabulary:
     def classes(self) -> int:
         return len(self.class_count)
 
-    def look_up(self, hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class, log10 share within the class and log10 unigram probability of each word."""
-        share = np.zeros(len(hashes))
-        tail = (mix(hashes) % np.uint64(TAIL)).astype(np.int64)
-        found = len(self.head) + tail
-        share = np.log10((count + 1.0) / (self.tail_total[tail] + self.tail_distinct[tail] + 1.0))
+    def classes_of(self, hashes: np.ndarray) -> np.ndarray:
+        found = len(self.head) + (mix(hashes) % np.uint64(TAIL)).astype(np.int64)
         if len(self.head):
             at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
             hit = self.head[at] == hashes
             found[hit] = self.head_class[at[hit]]
-            share[hit] = 0.0
-        return found.astype("<u2"), share, np.log10((count + 1.0) / (self.tokens + self.distinct + 1.0))
+        return found
+
+    def logs(self, found: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 share of each word within its class, and its log10 unigram probability."""
+        tail = found.astype(np.int64) - len(self.head)
+        mass = (self.tail_total + self.tail_distinct + 1.0)[np.maximum(tail, 0)]
+        share = np.where(tail < 0, 0.0, np.log10((count + 1.0) / mass))
+        return share, np.log10((count + 1.0) / (self.tokens + self.distinct + 1.0))
 
 
 def word_counts(tokens: DataFrame) -> DataFrame:
@@ -150,7 +155,14 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
     """Head words and class sums; the driver receives ``head`` + ``TAIL`` rows."""
     known = counts.where("c > 0")
     totals = known.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = known.orderBy(F.desc("c"), "hash").limit(head).collect()
+    # only words as frequent as the last of the head are sorted and sent
+    grade = F.floor(F.log2("c") * 16)
+    least, listed = 0, 0
+    for r in known.groupBy(grade.alias("g")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("g")).collect():
+        least, listed = r["g"], listed + r["n"]
+        if listed >= head:
+            break
+    top = known.where(grade >= least).orderBy(F.desc("c"), "hash").limit(head).collect()
 
     def run(batches):
         listed = np.array(sorted(r["hash"] for r in top), dtype=np.int64)
@@ -175,9 +187,17 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
 
 def resolved(tokens: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFrame:
     """Stored rows of texts: counts, unigram score, log10 shares within classes and the class of every token (uint16)."""
-    entry = tokens.where("kind = 1").select("chunk", "number", "hash").join(counts, "hash").select(F.col("chunk").alias("part"), "number", "hash", "c")
-    text = tokens.where("kind = 0").select("chunk", "doc_id", "held_out", "tokens")
     shared = tokens.sparkSession.sparkContext.broadcast(words)  # HEAD + TAIL numbers
+
+    def classed(batches):
+        for batch in batches:
+            h, c = batch.column(2).to_numpy().view(np.uint64), batch.column(3).to_numpy()
+            found = shared.value.classes_of(h)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(found.astype(np.int32))], names=["part", "number", "c", "class"])
+
+    entry = tokens.where("kind = 1").select(F.col("chunk").alias("part"), "number", "hash").join(counts, "hash").select("part", "number", "hash", "c")
+    entry = stored(map_arrow(entry, classed, "part long, number int, c long, class int"), "dictionary")
+    text = tokens.where("kind = 0").select("chunk", "doc_id", "held_out", "tokens")
     schema = T.StructType([tokens.schema["doc_id"]]).add("held_out", "boolean").add("n_tokens", "long").add("n_known", "long")
     schema = schema.add("base_score", "double").add("within", "double").add("classes", "binary")
 
@@ -185,7 +205,8 @@ def resolved(tokens: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFra
         number = entries.column("number").to_numpy()
         order = np.argsort(number)
         c = entries.column("c").to_numpy()[order].astype(float)
-        found, share, base = shared.value.look_up(entries.column("hash").to_numpy()[order].view(np.uint64), c)
+        found = entries.column("class").to_numpy()[order].astype("<u2")
+        share, base = shared.value.logs(found, c)
         rows: list[tuple] = []
         for raw in texts.column("tokens"):
             at = np.frombuffer(raw.as_buffer(), "<i4")
@@ -266,8 +287,8 @@ def _joined(parts: list) -> tuple[np.ndarray, np.ndarray]:
 
 def first_model(texts: DataFrame, unigram: np.ndarray, states: int = STATES) -> Model:
     """Baum-Welch on at most ``SAMPLE`` training texts of at most ``SAMPLE_TOKENS`` tokens, chosen by a hash, from fixed noise."""
-    some = texts.where(~F.col("held_out") & (F.col("n_tokens") <= SAMPLE_TOKENS)).orderBy(F.xxhash64("doc_id", "classes"), "classes").limit(SAMPLE)
-    parts = [bytes(r["classes"]) for r in some.select("classes").collect()]
+    some = texts.where(~F.col("held_out") & (F.col("n_tokens") <= SAMPLE_TOKENS))
+    parts = [bytes(r["classes"]) for r in smallest_hashes(some.select("classes"), ["classes"], SAMPLE).collect()]
     noise = np.random.default_rng(7)
     emit = unigram * np.exp(noise.normal(0.0, 0.5, size=(states, len(unigram))))
     model = Model(np.full(states, 1.0 / states), np.full((states, states), 0.4 / states) + 0.6 * np.eye(states), emit / emit.sum(axis=1, keepdims=True))
