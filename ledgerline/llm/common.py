@@ -97,9 +97,14 @@ def steps(
             at = end
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker: rows here are whole texts, of which the default of 10000 rows can be very large.
+BATCH_BYTES = "4m"
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package."""
+    """``mapInArrow`` in batches of bounded size, whose workers can import this package."""
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(run, schema)
 
 

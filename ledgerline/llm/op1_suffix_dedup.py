@@ -44,8 +44,8 @@ from ledgerline.llm.common import BASE, STEP_BYTES, UNBASE, _BYTE_VALUES, Rollin
 LENGTH = 200
 #: Contexts that one task may sort as one bucket (about 0.5 KB each).
 WIDE = 200_000
-#: Contexts sorted at a time, and anchors a task holds before it compares them.
-TOGETHER, HELD = 40_000, 1_000_000
+#: Contexts sorted at a time, anchors a task holds before it compares them, and text bytes of one vectorised step.
+TOGETHER, HELD, STEP = 20_000, 200_000, 1 << 18
 
 _NO_ID = -(1 << 63)
 
@@ -325,7 +325,7 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length
 
     def run(batches):
         collector = Collector(length, keep)
-        for rows, data, offsets in steps(batches, 2):
+        for rows, data, offsets in steps(batches, 2, STEP):
             collector.add(data, offsets, rows.column(0).to_numpy(), rows.column(1).to_numpy())
             if collector.size > HELD:
                 yield from collector.flush()
