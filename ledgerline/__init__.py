@@ -10,7 +10,7 @@ Subpackages:
 - ``plans``     time-blocked series machinery (ordinal, halo windows, prefix scans)
 - ``functions`` column-level helpers (safe ratios, labels, constants)
 - ``operators`` features, preparation, backtests, metrics, reports, ML jobs
-- ``streaming`` intentionally empty: the workload has no streaming operators
+- ``llm`` operators of a training-data pipeline (optional: nothing else imports it)
 """
 
 from ledgerline.session import ensure_checkpoint_dir, get_session

@@ -765,105 +765,155 @@ FROM er WINDOW w AS (PARTITION BY index_name ORDER BY t ROWS BETWEEN 19 PRECEDIN
 @register("event_panel_features", EVENT_SQL)
 def q_event_panel_features(spark, sf_dir):
     """The feature windows on a second, hourly panel (event type x hour)."""
-    f = FE.price_features(P.event_panel(spark, sf_dir))
+    return event_features(spark, sf_dir)
+
+
+def event_features(spark, sf_dir, block_rows: int = S.DEFAULT_BLOCK_ROWS) -> DataFrame:
+    f = FE.price_features(P.event_panel(spark, sf_dir, block_rows))
     return f.df.select(
         "index_name", F.col("Date").cast("string").alias("hour"), *r6("return_1d", "return_20d", "volatility_20d")
     )
 
 
 # --------------------------------------------------------------------- ML ---
-import os  # noqa: E402
+import hashlib  # noqa: E402
 
 from ledgerline.operators import ml as ML  # noqa: E402
+from ledgerline.sources import sinks as SK  # noqa: E402
 from ledgerline.session import ensure_checkpoint_dir  # noqa: E402
 
 ML_PARAMS = ML.ModelParams()
 
 
-def model_dir(spark, sf_dir: str, fitted_on: str, key: str) -> str:
-    """Models live in the shared checkpoint folder, never on a machine-local path."""
-    tag = os.path.basename(os.path.normpath(sf_dir))
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{tag}/{fitted_on}/{key}"
+FITTED: dict[tuple, tuple[str, ML.PipelineModel]] = {}
+
+
+def model_root(spark, sf_dir: str) -> str:
+    """Folder of the models of one input folder, below the shared checkpoint folder."""
+    tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{tag}"
 
 
 def _split(ds: DataFrame, *splits: str) -> DataFrame:
     return ds.where(F.col("split").isin(list(splits)))
 
 
-def final_model(spark, sf_dir: str, key: str, ds: DataFrame, feats) -> tuple[ML.PipelineModel, str]:
-    """The saved train + validation model, fitted and saved on first use."""
-    path = model_dir(spark, sf_dir, "train_validation", key)
-    try:
-        return ML.load(path), path
-    except Exception:  # noqa: BLE001 - not saved yet in this folder
-        model = ML.fit(key, _split(ds, "train", "validation"), feats, ML_PARAMS)
-        ML.save(model, path)
-        return model, path
+def trained(spark, sf_dir: str, key: str, *splits: str) -> str:
+    """Path of the model fitted on ``splits``; fitted and saved once per application, input, features and parameters."""
+    return _trained(spark, sf_dir, key, splits, ML_PARAMS)[0]
+
+
+def trained_model(spark, sf_dir: str, key: str, *splits: str) -> ML.PipelineModel:
+    """The same model as it came out of the fit."""
+    return _trained(spark, sf_dir, key, splits, ML_PARAMS)[1]
+
+
+def _trained(spark, sf_dir: str, key: str, splits: tuple[str, ...], params: ML.ModelParams) -> tuple[str, ML.PipelineModel]:
+    prep = prepared(spark, sf_dir)
+    what = (spark.sparkContext.applicationId, sf_dir, key, splits, params, tuple(prep.features))
+    if what not in FITTED:
+        tag = hashlib.sha256(repr(what).encode()).hexdigest()[:16]
+        model = ML.fit(key, _split(prep.panel.public(), *splits), prep.features, params)
+        FITTED[what] = ML.save(model, f"{model_root(spark, sf_dir)}/{key}-{'-'.join(splits)}-{tag}"), model
+    return FITTED[what]
+
+
+def evaluate_saved(spark, paths: dict[str, str], test: DataFrame) -> DataFrame:
+    """M9: load every model of ``paths`` (key -> path) and score ``test`` by hard labels; a missing model raises."""
+    rows = None
+    for key, path in paths.items():
+        scored = ML.score(ML.load(path), test, ["target"])
+        m = CL.classification_metrics(scored.withColumn("model_key", F.lit(key)), ["model_key"], "target", "y_pred")
+        m = m.withColumns({"model_name": F.lit(ML.model_name(key)), "model_path": F.lit(path)})
+        rows = m if rows is None else rows.unionByName(m)
+    return rows.select("model_key", "model_name", "model_path", *CLASS_METRICS)
 
 
 @register("train_report")
 def q_train_report(spark, sf_dir):
     """M8: fit on train, report validation and test (5 metrics + AUC), refit on
-    train + validation and save.  Baseline rows (P16) are included."""
-    prep = prepared(spark, sf_dir)
-    ds, feats = prep.panel.public(), prep.features
-    reports = []
-    for key in ML.MODEL_KEYS:
-        model = ML.fit(key, _split(ds, "train"), feats, ML_PARAMS)
-        scored = ML.score(model, _split(ds, "validation", "test"), ["split", "target"]).withColumn("model_key", F.lit(key))
-        reports.append(CL.classification_report(scored, ["model_key", "split"], "target", "y_pred", "p_up"))
-        final = ML.fit(key, _split(ds, "train", "validation"), feats, ML_PARAMS)
-        ML.save(final, model_dir(spark, sf_dir, "train_validation", key))
+    train + validation and save.  Baseline rows (P16) are included; S7: the
+    report is written as CSV and read back."""
+    ds = modeling_dataset(spark, sf_dir)
     base = CL.classification_metrics(CL.baseline_predictions(ds), ["model_key", "split"], "target", "y_pred")
     out = base.withColumn("roc_auc", F.lit(None).cast("double"))
-    for r in reports:
-        out = out.unionByName(r)
-    return out.select("model_key", "split", *r6(*CLASS_METRICS, "roc_auc"))
+    for key in ML.MODEL_KEYS:
+        model = ML.load(trained(spark, sf_dir, key, "train"))
+        scored = ML.score(model, _split(ds, "validation", "test"), ["split", "target"]).withColumn("model_key", F.lit(key))
+        out = out.unionByName(CL.classification_report(scored, ["model_key", "split"], "target", "y_pred", "p_up"))
+        trained(spark, sf_dir, key, "train", "validation")
+    out = out.select("model_key", "split", *r6(*CLASS_METRICS, "roc_auc"))
+    path = SK.write_table(out, results_dir(spark, sf_dir, "training_report"), "csv", order_by=["model_key", "split"])
+    return SK.read_result(spark, path, out.schema, "csv")
 
 
 @register("evaluate_saved")
 def q_evaluate_saved(spark, sf_dir):
-    """M9: load the saved train + validation models and score the test split (hard labels)."""
-    prep = prepared(spark, sf_dir)
-    ds, feats = prep.panel.public(), prep.features
-    rows = None
-    for key in ML.MODEL_KEYS:
-        model, path = final_model(spark, sf_dir, key, ds, feats)
-        scored = ML.score(model, _split(ds, "test"), ["target"])
-        m = CL.classification_metrics(scored.withColumn("model_key", F.lit(key)), ["model_key"], "target", "y_pred")
-        m = m.withColumns({"model_name": F.lit(ML.model_name(key)), "model_path": F.lit(path)})
-        rows = m if rows is None else rows.unionByName(m)
-    return rows.select("model_key", "model_name", "model_path", *r6(*CLASS_METRICS))
+    """M9 + S6: the saved train + validation models on the test split, written as CSV and read back."""
+    paths = {key: trained(spark, sf_dir, key, "train", "validation") for key in ML.MODEL_KEYS}
+    out = evaluate_saved(spark, paths, _split(modeling_dataset(spark, sf_dir), "test"))
+    out = out.select("model_key", "model_name", "model_path", *r6(*CLASS_METRICS))
+    path = SK.write_table(out, results_dir(spark, sf_dir, "model_metrics"), "csv", order_by=["model_key"])
+    return SK.read_result(spark, path, out.schema, "csv")
+
+
+def model_scores(spark, sf_dir: str, key: str) -> DataFrame:
+    """Validation rows scored by the train-only model, test rows by the train + validation model."""
+    ds = modeling_dataset(spark, sf_dir)
+    keep = ["index_name", "Date", "split", "next_return"]
+    val = ML.score(ML.load(trained(spark, sf_dir, key, "train")), _split(ds, "validation"), keep)
+    test = ML.score(ML.load(trained(spark, sf_dir, key, "train", "validation")), _split(ds, "test"), keep)
+    return val.unionByName(test)
+
+
+def model_rows(spark, sf_dir: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """(metrics, row-level returns) of one model: its threshold is chosen on validation and used on both splits."""
+    scores = S.keep(model_scores(spark, sf_dir, key))
+    swept = BT.choose_threshold(scores, run_keys=["split"])
+    swept = S.keep(swept)
+    threshold = swept.where("split = 'validation' and selected").first()["threshold"]
+    names = {"strategy_key": F.lit(f"{key}_long_cash"), "model_key": F.lit(key)}
+    metrics = swept.where(F.col("threshold") == threshold).withColumns(names)
+    metrics = metrics.withColumn("split", F.when(F.col("split") == "validation", F.lit("validation_threshold_selection")).otherwise(F.col("split")))
+    rows = BT.long_cash_frame(scores, threshold, run_keys=["split"]).withColumns(names)
+    return metrics.select("strategy_key", "model_key", "split", "threshold", "cost_per_trade", *METRICS), rows
+
+
+MODEL_ROWS: dict[tuple, tuple[DataFrame, DataFrame]] = {}
+
+
+def all_model_rows(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Metrics and row-level returns of all models, built once per application, input and parameters."""
+    what = (spark.sparkContext.applicationId, sf_dir, ML_PARAMS)
+    if what not in MODEL_ROWS:
+        parts = [model_rows(spark, sf_dir, key) for key in ML.MODEL_KEYS]
+        metrics, rows = parts[0]
+        for m, r in parts[1:]:
+            metrics, rows = metrics.unionByName(m), rows.unionByName(r)
+        MODEL_ROWS[what] = S.keep(metrics), S.keep(rows)
+    return MODEL_ROWS[what]
 
 
 @register("model_backtest")
 def q_model_backtest(spark, sf_dir):
     """Threshold chosen on validation with a train-only model, applied to the
     test split with the train + validation model."""
-    prep = prepared(spark, sf_dir)
-    ds, feats = prep.panel.public(), prep.features
-    keep = ["index_name", "Date", "split", "next_return"]
-    out = None
-    for key in ML.MODEL_KEYS:
-        train_only = ML.fit(key, _split(ds, "train"), feats, ML_PARAMS)
-        val = ML.score(train_only, _split(ds, "validation"), keep)
-        chosen = BT.choose_threshold(val, run_keys=["split"]).where("selected")
-        final, _ = final_model(spark, sf_dir, key, ds, feats)
-        test = ML.score(final, _split(ds, "test"), keep)
-        test_m = BT.sweep_metrics(test, BT.THRESHOLDS, [BT.COST_PER_TRADE], ["split"])
-        test_m = test_m.join(chosen.select("threshold"), "threshold", "left_semi")
-        both = chosen.drop("eligible", "selected").withColumn("split", F.lit("validation_threshold_selection")).unionByName(test_m)
-        both = both.withColumns({"strategy_key": F.lit(f"{key}_long_cash"), "model_key": F.lit(key)})
-        out = both if out is None else out.unionByName(both)
-    return out.select("strategy_key", "model_key", "split", "threshold", "cost_per_trade", *r6(*METRICS))
+    return all_model_rows(spark, sf_dir)[0].select("strategy_key", "model_key", "split", "threshold", "cost_per_trade", *r6(*METRICS))
 
 
-# ------------------------------------------------------------------- sinks ---
-from ledgerline.sources import sinks as SK  # noqa: E402
+@register("model_curves")
+def q_model_curves(spark, sf_dir):
+    """Equity curves of the model strategies with their threshold, written by split and strategy and read back."""
+    rows = all_model_rows(spark, sf_dir)[1]
+    keys = ["strategy_key", "model_key", "split", "threshold"]
+    curves = BT.portfolio_daily_returns(rows, keys).select(*keys, "Date", *r6(*CURVE_COLUMNS))
+    path = SK.write_table(curves, results_dir(spark, sf_dir, "model_curves"), "parquet", ["split", "strategy_key"])
+    return spark.read.parquet(path).select(*curves.columns)
 
 
+# ------------------------------------------------------------------- sinks ---
 def results_dir(spark, sf_dir: str, name: str) -> str:
-    tag = os.path.basename(os.path.normpath(sf_dir))
+    tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/results/{tag}/{name}"
 
 
@@ -938,3 +988,6 @@ def q_curve_sink_scan(spark, sf_dir):
         (F.col("split") == "test") & F.col("strategy_key").isin("buy_and_hold", "positive_20d_momentum")
     )
     return back.select(*RUN, "Date", *r6(*CURVE_COLUMNS))
+
+
+from ledgerline import catalog_jobs  # noqa: E402, F401 - registers its queries

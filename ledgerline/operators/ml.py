@@ -7,8 +7,8 @@ The estimators play the reference's roles with MLlib equivalents:
 * ``random_forest``: random forest, leaf >= 20, sqrt features, balanced weights,
 * ``hist_gradient_boosting``: gradient-boosted trees, learning rate 0.04, depth 4.
 
-Tree counts and boosting rounds are parameters (the reference uses 400 and
-250); the defaults are small so smoke runs stay short.
+Defaults are the full sizes: 400 trees, 250 boosting rounds, and trees as deep
+as MLlib allows (30); leaves of at least 20 rows end a branch long before.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.labels import MODEL_LABELS
+from ledgerline.operators.classification import minmax_scores
 
 LABEL = "target"
 WEIGHT = "_class_weight"
@@ -32,12 +33,16 @@ MODEL_KEYS = ("log_reg", "random_forest", "hist_gradient_boosting")
 
 @dataclass(frozen=True)
 class ModelParams:
-    num_trees: int = 20
-    boosting_rounds: int = 20
+    num_trees: int = 400
+    boosting_rounds: int = 250
+    max_depth: int = 30  # MLlib's limit
     max_iter: int = 2000
     seed: int = 42
 
 
+ROWS_PER_TASK = 50_000  # training rows of one task; every boosting round is a few jobs over all tasks
+
+
 def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """M4: weight n / (2 * n_class); the class counts are at most two scalars."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
@@ -61,7 +66,7 @@ def build_pipeline(key: str, features: Sequence[str], n_rows: int, params: Model
     if key == "random_forest":
         rf = RandomForestClassifier(
             featuresCol="_features", labelCol=LABEL, weightCol=WEIGHT, numTrees=params.num_trees,
-            minInstancesPerNode=20, featureSubsetStrategy="sqrt", maxDepth=12, maxBins=128, seed=params.seed,
+            minInstancesPerNode=20, featureSubsetStrategy="sqrt", maxDepth=params.max_depth, maxBins=128, seed=params.seed,
         )
         return Pipeline(stages=[assembler, rf])
     if key == "hist_gradient_boosting":
@@ -75,19 +80,32 @@ def build_pipeline(key: str, features: Sequence[str], n_rows: int, params: Model
 
 def fit(key: str, train: DataFrame, features: Sequence[str], params: ModelParams = ModelParams()) -> PipelineModel:
     """M5: fit one model on a split (the label is cast to double for MLlib)."""
-    data = with_class_weights(train.withColumn(LABEL, F.col(LABEL).cast("double")))
+    data = with_class_weights(train.select(*features, F.col(LABEL).cast("double").alias(LABEL)))
     n = data.count()
-    return build_pipeline(key, features, n, params).fit(data)
+    data = data.repartition(max(1, -(-n // ROWS_PER_TASK))).persist()
+    try:
+        return build_pipeline(key, features, n, params).fit(data)
+    finally:
+        data.unpersist()
+
+
+def positive_probability(out: DataFrame) -> DataFrame:
+    """M6: ``p_up`` of a transformed frame.
+
+    The class-1 probability; for a model without probabilities its raw score
+    for class 1, min-max scaled over the frame (0.5 if constant); without either a ``TypeError``.
+    """
+    if "probability" in out.columns:
+        return out.withColumn("p_up", vector_to_array("probability")[1])
+    if "rawPrediction" in out.columns:
+        return minmax_scores(out.withColumn("_raw", vector_to_array("rawPrediction")[1]), [], "_raw").drop("_raw")
+    raise TypeError("the model gives neither probabilities nor scores")
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """M6/M7: class-1 probability and hard prediction next to the kept columns."""
-    out = model.transform(df)
-    return out.select(
-        *keep,
-        vector_to_array("probability")[1].alias("p_up"),
-        F.col("prediction").cast("int").alias("y_pred"),
-    )
+    out = positive_probability(model.transform(df))
+    return out.select(*keep, "p_up", F.col("prediction").cast("int").alias("y_pred"))
 
 
 def save(model: PipelineModel, path: str) -> str:
@@ -97,6 +115,11 @@ def save(model: PipelineModel, path: str) -> str:
 
 
 def load(path: str) -> PipelineModel:
+    """A saved pipeline; raises ``FileNotFoundError`` when nothing is saved at ``path``."""
+    spark = SparkSession.active()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        raise FileNotFoundError(f"no saved model at {path}; train and save it first")
     return PipelineModel.load(path)
 
 

@@ -167,6 +167,21 @@ dataset AS MATERIALIZED (SELECT * FROM filled WHERE next_return IS NOT NULL)"""
 )
 
 
+def prepared_from_files(extra: dict[str, str]) -> str:
+    """The preparation without smoothing, with further context features (name -> aggregate over a day's lineitems)."""
+    sql = PREPARED.replace(
+        'avg(d.lvl) OVER (PARTITION BY d.index_name ORDER BY d."Date" ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS "Price"',
+        'd.lvl AS "Price"',
+    )
+    more = lambda form: "".join(", " + form.format(c=c, agg=agg) for c, agg in extra.items())
+    sql = sql.replace("AS bulk_discount\n  FROM lineitem", "AS bulk_discount" + more("{agg} AS {c}") + "\n  FROM lineitem")
+    sql = sql.replace("    c.bulk_discount\n", "    c.bulk_discount" + more("c.{c}") + "\n")
+    for form in ("last_value({c} IGNORE NULLS) OVER wl AS {c}", "median({c}) AS {c}", "coalesce(k.{c}, m.{c}, CAST(0 AS DOUBLE)) AS {c}"):
+        one = form.format(c="bulk_discount")
+        sql = sql.replace(one, one + more(form))
+    return "WITH RECURSIVE" + sql
+
+
 def with_prepared(body: str) -> str:
     return "WITH RECURSIVE" + PREPARED + "\n" + body
 

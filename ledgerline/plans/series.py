@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,17 @@ FOLD_SPAN = 64
 BROADCAST_BOUND_BYTES = 8 * 1024 * 1024
 BYTES_PER_OFFSET_ROW = 64
 
+@contextmanager
+def folding_up_to(span: int):
+    """Plans built inside fold scans of up to ``span`` summary rows in one window and double beyond."""
+    global FOLD_SPAN
+    before, FOLD_SPAN = FOLD_SPAN, span
+    try:
+        yield
+    finally:
+        FOLD_SPAN = before
+
+
 Combine = Callable[[Column, Column], Column]
 
 
@@ -264,7 +276,10 @@ def full_rolling(agg: Callable[[Column], Column], col: Column, n: int, keys: Seq
     return F.when(F.count(col).over(w) == n, agg(col).over(w))
 
 
-BYTES_PER_CARRY_ROW = 512  # conservative: keys + a struct of a few dozen doubles
+def carry_row_bytes(summary: DataFrame, value: str, keys: Sequence[str]) -> int:
+    """Bytes of one carry row: a key at 64, every field of the carried value at 16, and 64 of row overhead."""
+    dtype = summary.schema[value].dataType
+    return 64 + 64 * len(keys) + 16 * len(getattr(dtype, "fields", [None]))
 
 
 def block_carry(
@@ -285,7 +300,7 @@ def block_carry(
     carry = inc.select(*keys, (F.col(BLK) + 1).alias(BLK), F.col(value))
     # One row per entity and block: broadcast only when that bound is small;
     # otherwise the planner / AQE choose the join at run time.
-    if entities and entities * n_blocks * BYTES_PER_CARRY_ROW <= BROADCAST_BOUND_BYTES:
+    if entities and entities * n_blocks * carry_row_bytes(summary, value, keys) <= BROADCAST_BOUND_BYTES:
         carry = F.broadcast(carry)
     return carry
 

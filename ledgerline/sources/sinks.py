@@ -12,8 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
-    """Overwrite a result table (parquet, or CSV with a header)."""
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), order_by: Sequence[str] = ()
+) -> str:
+    """Overwrite a result table (parquet, or CSV with a header) at the caller's ``path``.
+
+    With ``order_by`` (T1) the files together are sorted: a range-partitioned sort, not one task.
+    """
+    if order_by:
+        df = df.orderBy(*order_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
