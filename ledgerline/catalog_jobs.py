@@ -211,3 +211,32 @@ def q_what_if_models(spark, sf_dir):
         scores = one if scores is None else scores.unionByName(one)
     m = BT.sweep_metrics(scores, WHAT_IF_MODEL_THRESHOLDS, [0.0, BT.COST_PER_TRADE], ["model_key", "split"], gross=False)
     return m.select("model_key", "split", "threshold", "cost_per_trade", *C.r6(*C.NET_METRICS))
+
+
+# --------------------------------------------------------- charts with the models ---
+def all_curves(spark, sf_dir):
+    """Curves of rules and models together, one run per strategy and split."""
+    frames = C.rule_frames(spark, sf_dir).select(*C.RUN, *C.KEY, "signal", "trade", "gross_strategy_return", "strategy_return")
+    models = C.all_model_rows(spark, sf_dir)[1].select(*frames.columns)
+    return BT.portfolio_daily_returns(frames.unionByName(models), C.RUN)
+
+
+@register("model_chart_series")
+def q_model_chart_series(spark, sf_dir):
+    """Chart series of all primary strategies, the model strategies among them."""
+    out = RP.chart_series(all_curves(spark, sf_dir), spark, "test", C.PRIMARY_STRATEGIES)
+    return out.select(*C.RUN, "strategy", "Date", *C.r6("equity", "drawdown", "exposure", "turnover"))
+
+
+@register("model_return_density")
+def q_model_return_density(spark, sf_dir):
+    """Densities of the daily returns of every strategy of the test split, on common bins."""
+    curves = S.keep(all_curves(spark, sf_dir).where("split = 'test'").select("strategy_key", "strategy_return"))
+    return RP.density(curves, "strategy_return", 45, ["strategy_key"]).select("strategy_key", "bin", "count", *C.r6("density"))
+
+
+@register("model_score_histogram")
+def q_model_score_histogram(spark, sf_dir):
+    """Scores of every model by signal, 40 bins."""
+    rows = S.keep(C.all_model_rows(spark, sf_dir)[1].where("split = 'test'").select("strategy_key", "signal", "p_up"))
+    return RP.histogram(rows, "p_up", 40, ["strategy_key", "signal"]).select("strategy_key", "signal", "bin", "count")

@@ -7,8 +7,8 @@ holds a third of all rows.  Everything here splits an entity's history into
 blocks of ``block_rows`` consecutive rows instead:
 
 * :func:`with_ordinal` numbers rows ``0..n-1`` inside each entity without a
-  per-entity task: counts per coarse time bucket, a prefix scan over the
-  bucket counts, then a ``row_number`` inside each bucket.
+  per-entity task: rows are range-partitioned by entity and time, ranges are
+  counted, and a ``row_number`` runs inside each range.
 * :func:`with_halo` assigns ``_blk = _t div block_rows`` and replicates the
   last ``back`` rows of the previous block (and the first ``fwd`` rows of the
   next block) so lags, leads and rolling frames of bounded length are exact
@@ -30,13 +30,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 ORD = "_t"  # 0-based position of a row inside its entity, in time order
 BLK = "_blk"  # block id: _t div block_rows
 OWN = "_own"  # false for halo copies of rows that belong to a neighbouring block
 
 DEFAULT_BLOCK_ROWS = 256
+# Rows that one task numbers.
+RANGE_ROWS = 100_000
 # Scan rounds between lineage cuts of the block-summary table.
 ROUNDS_PER_CHECKPOINT = 8
 # Up to this many summary rows per key the scan is one window with a bounded
@@ -71,28 +72,6 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def tick(col: Column, dtype) -> Column:
-    """Integer clock of a time column: days for dates, seconds for timestamps."""
-    if isinstance(dtype, DateType):
-        return F.unix_date(col).cast("long")
-    if isinstance(dtype, TimestampNTZType):
-        return (
-            F.unix_date(F.to_date(col)).cast("long") * 86400
-            + F.hour(col) * 3600
-            + F.minute(col) * 60
-            + F.second(col).cast("long")
-        )
-    if isinstance(dtype, TimestampType):
-        return F.floor(F.unix_micros(col) / 1_000_000)
-    return col.cast("long")
-
-
-def default_bucket_ticks(dtype, block_rows: int) -> int:
-    if isinstance(dtype, (TimestampNTZType, TimestampType)):
-        return block_rows * 3600
-    return block_rows
-
-
 def prefix_scan(
     summary: DataFrame,
     keys: Sequence[str],
@@ -180,14 +159,14 @@ def with_ordinal(
     keys: Sequence[str],
     time_col: str,
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    bucket_ticks: int | None = None,
+    range_rows: int | None = None,
 ) -> tuple[DataFrame, int]:
     """Add ``_t``: the 0-based time rank of each row inside its entity.
 
     ``(keys, time_col)`` must be unique.  Returns the frame and the largest
     entity length (one scalar, used to size later scans).
     """
-    out, max_rows, _ = with_ordinal_info(df, keys, time_col, block_rows, bucket_ticks)
+    out, max_rows, _ = with_ordinal_info(df, keys, time_col, block_rows, range_rows)
     return out, max_rows
 
 
@@ -196,43 +175,37 @@ def with_ordinal_info(
     keys: Sequence[str],
     time_col: str,
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    bucket_ticks: int | None = None,
+    range_rows: int | None = None,
 ) -> tuple[DataFrame, int, int]:
-    """:func:`with_ordinal` plus the number of entities (a bound for carry tables)."""
+    """:func:`with_ordinal` plus the number of entities (a bound for carry tables).
+
+    Rows are range-partitioned by entity and time into ranges of about
+    ``range_rows`` rows, however the clock ticks; a row's number is the count of its
+    entity's rows in earlier ranges plus its place in its own.
+    """
     keys = list(keys)
-    dtype = df.schema[time_col].dataType
-    width = bucket_ticks or default_bucket_ticks(dtype, block_rows)
-    # The input is usually an aggregate; keep it so the count branch, the
-    # size probe and the numbering pass read it once.
-    rows = keep(df.withColumn("_tb", F.floor(tick(F.col(time_col), dtype) / F.lit(width))))
-    counts = rows.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_n"))
-    ranges = counts.groupBy(*keys).agg(
-        F.min("_tb").alias("_lo"), F.max("_tb").alias("_hi"), F.sum("_n").alias("_len")
-    )
-    meta = ranges.agg(
-        F.max(F.col("_hi") - F.col("_lo") + 1).alias("span"),
-        F.max("_len").alias("len"),
-        F.count(F.lit(1)).alias("entities"),
-    ).first()
-    if meta is None or meta["span"] is None:
-        return rows.drop("_tb").withColumn(ORD, F.lit(None).cast("long")), 0, 0
-    grid = ranges.select(*keys, "_lo", F.explode(F.sequence("_lo", "_hi")).alias("_tb"))
-    dense = grid.join(counts, [*keys, "_tb"], "left").select(
-        *keys,
-        "_tb",
-        (F.col("_tb") - F.col("_lo")).alias("_p"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("_n"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("_cum"),
-    )
-    scanned = prefix_scan(dense, keys, "_p", "_cum", lambda a, b: a + b, int(meta["span"]), ("_tb", "_n"))
-    offsets = scanned.where(F.col("_n") > 0).select(*keys, "_tb", (F.col("_cum") - F.col("_n")).alias("_off"))
-    # At most one offset row per entity and bucket: a bound known before the join.
-    if int(meta["entities"]) * int(meta["span"]) * BYTES_PER_OFFSET_ROW <= BROADCAST_BOUND_BYTES:
-        offsets = F.broadcast(offsets)
+    range_rows = range_rows or max(RANGE_ROWS, block_rows)
+    # The input is usually an aggregate; keep it so that counting, sampling and numbering read it once.
+    rows = keep(df)
+    n_ranges = max(1, -(-rows.count() // range_rows))
+    if n_ranges == 1:
+        ranged = rows.withColumn("_tb", F.lit(0))
+    else:  # kept, because sampling anew could move the borders
+        ranged = keep(rows.repartitionByRange(n_ranges, *keys, time_col).withColumn("_tb", F.spark_partition_id()))
+    counts = ranged.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_n"))
+    meta = counts.groupBy(*keys).agg(F.sum("_n").alias("_len")).agg(F.max("_len").alias("len"), F.count(F.lit(1)).alias("entities")).first()
+    if meta["len"] is None:
+        return rows.withColumn(ORD, F.lit(None).cast("long")), 0, 0
     local = Window.partitionBy(*keys, "_tb").orderBy(time_col)
-    out = rows.join(offsets, [*keys, "_tb"], "inner").withColumn(
-        ORD, F.col("_off") + F.row_number().over(local) - 1
-    )
+    place = F.row_number().over(local).cast("long") - 1
+    if n_ranges == 1:
+        return ranged.withColumn(ORD, place).drop("_tb"), int(meta["len"]), int(meta["entities"])
+    earlier = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "_tb", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    # Each range ends in at most one entity more than it has borders: a bound known before the join.
+    if (int(meta["entities"]) + n_ranges) * BYTES_PER_OFFSET_ROW <= BROADCAST_BOUND_BYTES:
+        offsets = F.broadcast(offsets)
+    out = ranged.join(offsets, [*keys, "_tb"], "inner").withColumn(ORD, F.col("_off") + place)
     return out.drop("_tb", "_off"), int(meta["len"]), int(meta["entities"])
 
 

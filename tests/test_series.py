@@ -46,7 +46,7 @@ def _frame(spark, rows):
 
 def test_ordinal_matches_row_number(spark, scan_path):
     rows = _panel_rows()
-    df, max_rows = S.with_ordinal(_frame(spark, rows), ["index_name"], "Date", block_rows=4, bucket_ticks=9)
+    df, max_rows = S.with_ordinal(_frame(spark, rows), ["index_name"], "Date", block_rows=4, range_rows=9)
     got = df.select("index_name", "Date", S.ORD).toPandas()
     pdf = pd.DataFrame(rows, columns=["index_name", "Date", "Price", "x"])
     pdf["t"] = pdf.sort_values("Date").groupby("index_name").cumcount()
