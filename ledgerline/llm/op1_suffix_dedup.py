@@ -159,7 +159,7 @@ def keyed(docs: DataFrame, id_column: str, text: str) -> list[Column]:
     ]
 
 
-def _contexts(docs: DataFrame, wanted: DataFrame, length: int, keep: str) -> DataFrame:
+def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Context bytes of the ``wanted`` anchors (doc, salt, list); those of wide buckets as hashed strings instead."""
 
     def run(batches):
@@ -214,8 +214,8 @@ def _sheet(contexts: pa.Array, before: np.ndarray, lead: int, width: int) -> tup
     data = np.frombuffer(contexts.buffers()[2], np.uint8)
     sheet = np.zeros((m, width), dtype=np.uint8)
     flat = sheet.reshape(-1)
-    for a in range(0, m, 8192):
-        b = min(a + 8192, m)
+    for a in range(0, m, 2048):
+        b = min(a + 2048, m)
         size = edges[a + 1 : b + 1] - edges[a:b]
         shift = np.arange(a, b) * width + lead - before[a:b] - edges[a:b]
         flat[np.repeat(shift, size) + np.arange(edges[a], edges[b])] = data[edges[a] : edges[b]]
@@ -236,8 +236,10 @@ def bucket_spans(bucket, doc, salt, pos, before, contexts: pa.Array, length: int
     # suffix order of the anchors themselves: bucket, then bytes
     words = np.ascontiguousarray(np.pad(sheet[:, lead:], ((0, 0), (0, (-length) % 8)))).view(">u8")
     order = np.lexsort([*words.T[::-1], bucket])
-    place = np.empty(m, np.int64)
-    place[np.lexsort((pos, salt, doc))] = np.arange(m)
+    place = np.empty(m, np.int64)  # the same place twice (repeated rows) has one number
+    at = np.lexsort((pos, salt, doc))
+    moved = (doc[at[1:]] != doc[at[:-1]]) | (salt[at[1:]] != salt[at[:-1]]) | (pos[at[1:]] != pos[at[:-1]])
+    place[at] = np.concatenate([[0], np.cumsum(moved)])
     low, high = np.full(m, -1, np.int64), np.full(m, -1, np.int64)
     shelf = bucket.astype(np.int64) * 256
     for a in range(lead + 1):
@@ -348,7 +350,7 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length
     width = mixed.groupBy("ha").agg((F.count(F.lit(1)) > wide).alias("wide")).where("wide")
     mixed = mixed.join(width, "ha", "left").withColumn("wide", F.coalesce("wide", F.lit(False)))
     wanted = mixed.groupBy("doc", "salt").agg(F.collect_list(F.struct("ha", "pos", "begin", "end", "n", "wide")).alias("list"))
-    contexts = stored(_contexts(source.dropDuplicates(["doc", "salt"]) if keep == "first" else source, wanted, length, keep), "contexts")
+    contexts = stored(_contexts(source, wanted, length), "contexts")
     every = done.unionByName(repeats).unionByName(_sorted_buckets(contexts, length, keep)).unionByName(_counted_strings(contexts, length, keep))
     return stored(every.groupBy("doc", "salt").agg(F.collect_set(F.struct("begin", "end")).alias("list")), "spans")
 

@@ -75,6 +75,7 @@ def test_wide_buckets_give_the_same(spark):
 def test_awkward_rows(spark):
     rows = [r for r in awkward() if r[0] != 6]
     check(spark, rows, "none", 4096)
+    check(spark, rows + [(9, rows[0][1] + " x")] * 2, "first", 4096)
 
 
 def test_long_text_in_pieces(monkeypatch):
