@@ -250,17 +250,15 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **o
     """The rows of ``docs`` without near duplicates: of every class one row with the smallest id stays."""
     columns = docs.columns
     found = classes(docs, id_column, text, **options)
-    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    node = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    # which nodes go is settled on ids alone; texts are shuffled once, by node, copies already dropped
+    first = docs.select(node.alias("node"), F.col(id_column).alias("id")).groupBy("node").agg(F.min("id").alias("id"))
+    known = first.join(found, "node")
+    best = known.groupBy("component").agg(F.min_by("node", F.struct(F.col("id").isNull(), F.col("id"), F.col("node"))).alias("best"))
+    gone = found.join(best, "component").where("node <> best").select("node")
     row = F.struct(*columns)
-    one = docs.groupBy(body.alias("node")).agg(F.min_by(row, F.struct(F.col(id_column).isNull(), F.col(id_column))).alias("row"))
-    one = one.join(found, "node", "left")
-    best = (
-        one.where("component is not null")
-        .groupBy("component")
-        .agg(F.min_by("node", F.struct(F.col("row")[id_column].isNull(), F.col("row")[id_column], F.col("node"))).alias("best"))
-    )
-    stay = one.join(best, "component", "left").where("best is null or best = node")
-    return stay.select(*[F.col("row")[c].alias(c) for c in columns])
+    one = docs.groupBy(node.alias("node")).agg(F.min_by(row, F.struct(F.col(id_column).isNull(), F.col(id_column))).alias("row"))
+    return one.join(gone, "node", "left_anti").select(*[F.col("row")[c].alias(c) for c in columns])
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
