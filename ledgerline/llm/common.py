@@ -41,14 +41,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: str | None = None, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        writer = df.write.option("compression", "zstd")
+        writer = df.write.option("compression", compression)
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)

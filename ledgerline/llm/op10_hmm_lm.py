@@ -111,7 +111,7 @@ def tokenised(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if held:
             yield from flush()
 
-    return stored(map_arrow(docs.select("doc_id", "held_out", "text"), run, schema), "tokens", "kind")
+    return stored(map_arrow(docs.select("doc_id", "held_out", "text"), run, schema), "tokens", "kind", "zstd")
 
 
 @dataclass
@@ -148,7 +148,7 @@ class Vocabulary:
 
 def word_counts(tokens: DataFrame) -> DataFrame:
     """(hash, c): how often each token occurs in training; 0 for words of held-out texts only."""
-    return stored(tokens.where("kind = 1").groupBy("hash").agg(F.sum("n").alias("c")), "word-counts")
+    return stored(tokens.where("kind = 1").groupBy("hash").agg(F.sum("n").alias("c")), "word-counts", None, "zstd")
 
 
 def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
@@ -196,7 +196,7 @@ def resolved(tokens: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(found.astype(np.int32))], names=["part", "number", "c", "class"])
 
     entry = tokens.where("kind = 1").select(F.col("chunk").alias("part"), "number", "hash").join(counts, "hash").select("part", "number", "hash", "c")
-    entry = stored(map_arrow(entry, classed, "part long, number int, c long, class int"), "dictionary")
+    entry = stored(map_arrow(entry, classed, "part long, number int, c long, class int"), "dictionary", None, "zstd")
     text = tokens.where("kind = 0").select("chunk", "doc_id", "held_out", "tokens")
     schema = T.StructType([tokens.schema["doc_id"]]).add("held_out", "boolean").add("n_tokens", "long").add("n_known", "long")
     schema = schema.add("base_score", "double").add("within", "double").add("classes", "binary")
@@ -218,7 +218,7 @@ def resolved(tokens: DataFrame, counts: DataFrame, words: Vocabulary) -> DataFra
     from ledgerline.session import ship_package
 
     ship_package(tokens.sparkSession)
-    return stored(text.groupBy("chunk").cogroup(entry.groupBy("part")).applyInArrow(solve, schema), "class-texts")
+    return stored(text.groupBy("chunk").cogroup(entry.groupBy("part")).applyInArrow(solve, schema), "class-texts", None, "zstd")
 
 
 @dataclass
