@@ -8,15 +8,16 @@ the earliest dart of every coordinate.  Two texts agree in a coordinate with
 probability equal to their weighted Jaccard similarity, and only cells of the
 text are ever looked at.  Ranks are thrown unit by unit until no coordinate is empty.
 
-Bands of signature coordinates give candidate buckets.  In each bucket a leader
-is paired with the members of other components, the members with most
-bucket mates leading first; pairs are verified by their exact weighted Jaccard
-similarity (0.8 or more).  Buckets that still hold several components are led
-again, by the best member outside their main component (``PASSES`` passes), and buckets of at
-most ``SMALL`` texts have all pairs across components verified.  The work is
-linear in a bucket's size, however large a group of copies is.  Every verified
-link is kept, and every text is compared with the leaders of all its buckets; in
-larger buckets, two texts that are both unlike all their leaders are not compared with each other.
+Bands of signature coordinates give candidate buckets, and every two texts that share a
+bucket end in one component or are compared by their exact weighted Jaccard similarity (0.8 or more):
+
+1. Leaders.  In each bucket a leader is paired with the members of other components, the members
+   with most bucket mates leading first.  Buckets that still hold several components are led again,
+   by the best member outside their main component (``PASSES`` passes); this is linear in a bucket's size.
+2. Buckets of at most ``SMALL`` texts have all pairs across components verified.
+3. Larger buckets that still hold several components have all pairs across them counted in tiles
+   of at most about ``TILE`` texts or ``TILE_BYTES`` bytes a side, so no task holds a whole
+   bucket; tiles of the main component alone are left out.
 
 Equal texts are one node, so copies never meet in a bucket (a text is known by
 its 64-bit hash).  Null counts as the empty text.  Texts without words are only
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import RollingHash, map_arrow, mix, steps, stored, table, word_spans
 from ledgerline.llm.components import connected_components
+from ledgerline.session import ship_package
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -40,6 +42,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 #: Passes of leaders over the buckets, and the size up to which a bucket's pairs are all verified.
 PASSES, SMALL = 3, 10
+#: Texts and bytes of one side of a tile of a larger bucket, and cells counted in one matrix product.
+TILE, TILE_BYTES, COLUMNS = 1_000, 8 << 20, 2_048
 
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, n + 1), dtype=float) for n in range(16)])
 
@@ -181,6 +185,7 @@ def classes(
     rows: int = ROWS,
     passes: int = PASSES,
     small: int = SMALL,
+    tile: int = TILE,
 ) -> DataFrame:
     """(node, component) of every text that is near to a different one."""
     nodes = texts(docs, id_column, text)
@@ -208,7 +213,9 @@ def classes(
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = stored(connected_components(links), "components")
         own = member.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return found
+    # components only grow, so after this no two texts of a bucket are apart and untested
+    rest = stored(_tiled(own, once, small, tile, similarity), "links")
+    return found if rest.isEmpty() else stored(connected_components(links.unionByName(rest)), "components")
 
 
 def _led(own: DataFrame) -> DataFrame:
@@ -234,6 +241,80 @@ def _across(own: DataFrame, small: int) -> DataFrame:
     return few.join(other, "key").where("node < x and component <> cx").select(F.col("node").alias("a"), F.col("x").alias("b")).distinct()
 
 
+def _tiled(own: DataFrame, nodes: DataFrame, small: int, tile: int, similarity: float) -> DataFrame:
+    """Links (a, b) between different components in the buckets of more than ``small`` texts, all pairs counted."""
+    large = own.where(F.col("size") > small).select("key", "node", "component")
+    per = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    mixed = large.join(main.select("key", F.col("main.component").alias("main")), "key")
+    mixed = mixed.select("key", "node", "component", (F.col("component") != F.col("main")).alias("outside"))
+    mixed = stored(mixed.join(nodes.select("node", F.octet_length("text").alias("bytes")), "node"), "mixed-members")
+    total = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    total = total.select("key", F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / TILE_BYTES)).cast("int").alias("sides"))
+    side = mixed.join(total, "key").withColumn("side", F.pmod(F.xxhash64("node", "key"), F.col("sides")).cast("int"))
+    # each member meets every side of its bucket; sides without a text outside the main component do not meet each other
+    mate = side.groupBy("key", "side").agg(F.max("outside").alias("any")).select("key", F.col("side").alias("mate"), "any")
+    held = side.groupBy("key", "side").agg(F.max("outside").alias("own"))
+    met = held.join(mate, "key").where("own or any").select("key", "side", "mate")
+    rows = side.join(met, ["key", "side"]).select(
+        "key", F.least("side", "mate").alias("i"), F.greatest("side", "mate").alias("j"), "side", "node", "component", "outside"
+    )
+    rows = rows.hint("merge").join(nodes.select("node", "text"), "node")
+
+    def count(group: pa.Table) -> pa.Table:
+        node, component, outside, side = (group.column(c).to_numpy() for c in ("node", "component", "outside", "side"))
+        parts = [_cells_of(x.as_buffer()) for chunk in group.column("text").chunks for x in chunk]
+        a, b = tile_links(parts, component, outside, side, similarity)
+        return pa.table({"a": pa.array(np.minimum(node[a], node[b])), "b": pa.array(np.maximum(node[a], node[b]))})
+
+    ship_package(own.sparkSession)
+    return rows.groupBy("key", "i", "j").applyInArrow(count, "a long, b long").distinct()
+
+
+def tile_links(parts: list, component: np.ndarray, outside: np.ndarray, side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (places) of near texts of different components, one of them outside the main one; ``parts`` are their cells.
+
+    With two sides only pairs of different sides count: pairs within a side have a tile of their own.
+    """
+    size = np.array([len(p) for p in parts], dtype=np.int64)
+    left = np.flatnonzero(outside)
+    common = np.zeros((len(left), len(parts)), np.float64)
+    row = np.repeat(np.arange(len(parts)), size)
+    _, cell, often = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    shared = often[cell] > 1
+    row, cell = row[shared], cell[shared]
+    kinds, cell = np.unique(cell, return_inverse=True)
+    order = np.argsort(cell, kind="stable")
+    row, cell = row[order], cell[order]
+    often = often[kinds]
+    first = np.concatenate([[0], np.cumsum(often)])
+    at = np.full(len(parts), -1)
+    at[left] = np.arange(len(left))
+    rare = often <= 16
+    for n in np.unique(often[rare]):  # cells of few texts: their pairs one by one
+        texts_of = row[first[:-1][often == n][:, None] + np.arange(n)]
+        for x in range(n):
+            ours = at[texts_of[:, x]]
+            hit = ours >= 0
+            for y in range(n):
+                if x != y:
+                    np.add.at(common, (ours[hit], texts_of[hit, y]), 1)
+    wide = np.flatnonzero(~rare)
+    for low in range(0, len(wide), COLUMNS):  # cells of many texts: products of 0-1 matrices
+        own = wide[low : low + COLUMNS]
+        number = np.repeat(np.arange(len(own)), often[own])
+        held = row[np.repeat(first[own], often[own]) + np.arange(len(number)) - np.repeat(np.cumsum(often[own]) - often[own], often[own])]
+        sheet = np.zeros((len(parts), len(own)), np.float32)
+        sheet[held, number] = 1.0
+        common += sheet[left] @ sheet.T
+    near = (common >= similarity * (size[left][:, None] + size[None, :] - common)) & (common > 0)
+    near &= component[left][:, None] != component[None, :]
+    if len(np.unique(side)) > 1:
+        near &= side[left][:, None] != side[None, :]
+    x, y = np.nonzero(near)
+    return left[x], y
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row for each row of ``docs``: doc_id, class_id (smallest doc_id of the class), class_size (rows) and kept.
 

@@ -93,6 +93,39 @@ def test_large_group_of_near_copies(spark):
     assert {r["class_id"] for r in got} == {1}
 
 
+def test_links_of_members_unlike_every_leader(spark):
+    rng = random.Random(6)
+    base = words(rng, 120).split()
+    rows = []
+    for f in range(60):  # pairs of near texts, all of them about 0.6 like the same base
+        own = list(base)
+        at = rng.randrange(80)
+        own[at : at + 25] = [f"f{f}w{i}" for i in range(25)]
+        copy = list(own)
+        copy[rng.randrange(len(copy))] = f"z{f}"
+        rows += [(2 * f, " ".join(own)), (2 * f + 1, " ".join(copy))]
+    for tile in (1000, 7):
+        got = op.near_duplicates(frame(spark, rows), bands=4, rows=1, tile=tile).collect()
+        assert sorted(((r["doc_id"], r["class_id"], r["class_size"]) for r in got), key=str) == brute(rows)
+
+
+def test_tile_links_count_every_pair():
+    rng = np.random.default_rng(7)
+    parts = [np.unique(rng.integers(0, 60, 50).astype(np.uint64)) for _ in range(40)]
+    parts[20:] = [np.unique(np.append(p[:-1], np.uint64(900 + i % 4))) for i, p in enumerate(parts[:20])]
+    component, outside = np.arange(40) % 9, np.arange(40) % 9 != 0
+    for side in (np.zeros(40, int), np.arange(40) // 20):
+        a, b = op.tile_links(parts, component, outside, side, 0.6)
+        want = set()
+        for x in range(40):
+            for y in range(x):
+                common = len(np.intersect1d(parts[x], parts[y]))
+                apart = component[x] != component[y] and (not side.any() or side[x] != side[y])
+                if apart and common >= 0.6 * (len(parts[x]) + len(parts[y]) - common):
+                    want.add((y, x))
+        assert want and {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())} == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 101), (102, 101), (5, 5)]
     got = connected_components(spark.createDataFrame(edges, "a long, b long"))
