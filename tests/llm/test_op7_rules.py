@@ -106,3 +106,14 @@ def test_short_texts_are_guarded(spark):
     rows = [(i, words(random.Random(i), 40), "en") for i in range(5)] + [(9, "&&& " * 24, "en")]
     got = {r["doc_id"]: r for r in op.annotate(frame(spark, rows)).collect()}
     assert not got[9]["kept"]
+
+
+def test_texts_without_common_words_are_rejected(spark):
+    rng = random.Random(5)
+    common = op.COMMON_WORDS["en"]
+    some = lambda share, i: " ".join(rng.choice(common) if rng.random() < share else f"w{rng.randrange(10**6)}" for _ in range(80))
+    rows = [(i, some(0.22, i), "en") for i in range(40)] + [(100 + i, some(0.0, i), None) for i in range(5)]
+    got = {r["doc_id"]: r for r in op.annotate(frame(spark, rows)).collect()}
+    assert all(got[i]["kept"] for i in range(40))
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i in range(100, 105))
+    assert all(got[i]["class_distance"] <= op.Rules().max_class_distance for i in got)
