@@ -111,10 +111,20 @@ class Collector:
         if len(data) <= step:
             self._keep(anchors(data, offsets, self.length, 0, len(data)), 0, offsets, doc, salt)
             return
+        last = None
         for low in range(0, len(data), step):  # one long text (or a step that ends with one) piece by piece
             a, b = max(0, low - self.length), min(len(data), low + step + 2 * self.length)
             inner = np.clip(offsets, a, b) - a
-            self._keep(anchors(data[a:b], inner, self.length, low - a, low - a + step), a, offsets, doc, salt)
+            found = anchors(data[a:b], inner, self.length, low - a, low - a + step)
+            if not len(found[0]):
+                continue
+            # the first string of a piece may pick the last anchor of the piece before; a place counts once
+            first = (int(found[1][0]), int(found[0][0]) + a)
+            ending = (int(found[1][-1]), int(found[0][-1]) + a)
+            if first == last:
+                found = tuple(x[1:] for x in found)
+            last = ending
+            self._keep(found, a, offsets, doc, salt)
 
     def _keep(self, found: tuple, shift: int, offsets: np.ndarray, doc: np.ndarray, salt: np.ndarray) -> None:
         place, row, begin, end, ha, hc = found

@@ -90,6 +90,35 @@ def test_long_text_in_pieces(monkeypatch):
     assert unique(whole) == unique(pieces)
 
 
+def test_places_at_the_borders_of_pieces_count_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 100, 20_000).astype(np.uint8)
+    doc, salt = np.zeros(1, np.int64), np.zeros(1, np.int64)
+    whole, pieces = op.Collector(LENGTH, "none"), op.Collector(LENGTH, "none")
+    whole.add(data, np.array([0, len(data)]), doc, salt)
+    monkeypatch.setattr(op, "STEP_BYTES", 500)
+    pieces.add(data, np.array([0, len(data)]), doc, salt)
+    every = lambda c: sorted(tuple(int(x[i]) for x in part) for part in c.parts for i in range(len(part[0])))
+    assert every(whole) == every(pieces)
+
+
+def test_text_over_several_pieces(spark):
+    rng = np.random.default_rng(5)
+    size = 9 << 20  # three pieces
+    body = bytearray(rng.integers(97, 123, size).astype(np.uint8).tobytes())
+    passage = bytes(rng.integers(97, 123, 700).astype(np.uint8))
+    for at, sides in ((1_000_000, b"AB"), (4 * (1 << 20) - 300, b"CD"), (7_000_000, b"EF")):
+        body[at - 1 : at + 701] = sides[:1] + passage + sides[1:]
+    # random letters elsewhere: strings of 200 bytes repeat only within the planted passages
+    raw, gone = bytes(body), np.zeros(size, bool)
+    for at in (1_000_000, 4 * (1 << 20) - 300, 7_000_000):
+        gone[at : at + 700] = True
+    kept = bytes(np.frombuffer(raw, np.uint8)[~gone])
+    docs = spark.createDataFrame([(1, raw.decode())], "doc_id long, text string")
+    got = op.digests(docs, op.spans(docs, keep="none")).collect()
+    assert [tuple(r) for r in got] == [(1, size, 2100, 3, hashlib.sha256(kept).hexdigest())]
+
+
 def test_remove_keeps_rows_and_other_columns(spark):
     rows = corpus(5)
     docs = frame(spark, rows)
