@@ -12,8 +12,8 @@ fixed, whatever the vocabulary's.
    the chunk dictionaries, which then meet their texts again by chunk.
 3. ``baum_welch``: each pass runs the scaled forward-backward recursion over every
    training text, one step for the t-th token of all texts of a task, and sums
-   expected counts across tasks.  The first model comes from the same recursion on a
-   bounded sample of ``SAMPLE`` texts.
+   expected counts across tasks.  The first model is the unigram shares with fixed noise; rounds go on
+   until one raises the log10 likelihood of the training texts by less than ``GAIN`` a token.
 4. ``score``: the scaled forward recursion gives each text's exact log10 likelihood.
 
 Words are known by 64-bit hashes.  Null texts count as empty: one end mark.
@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import RollingHash, fold, map_arrow, mix, smallest_hashes, steps, stored, table, word_spans
+from ledgerline.llm.common import RollingHash, fold, map_arrow, mix, steps, stored, table, word_spans
 
-HEAD, TAIL, STATES, PASSES = 8192, 1024, 8, 2
-SAMPLE, SAMPLE_ROUNDS, SAMPLE_TOKENS = 400, 25, 2_000
+HEAD, TAIL, STATES = 8192, 1024, 8
+#: Log10 likelihood a training token below which a round's gain ends the training.
+GAIN = 1e-3
 CHUNK_BYTES = 16 << 20
 #: Tokens whose recursion runs together in a task.
 TOGETHER = 1_000_000
@@ -285,18 +286,11 @@ def _joined(parts: list) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.frombuffer(p, "<u2") for p in parts]).astype(np.int64), np.concatenate([[0], np.cumsum([len(p) // 2 for p in parts])])
 
 
-def first_model(texts: DataFrame, unigram: np.ndarray, states: int = STATES) -> Model:
-    """Baum-Welch on at most ``SAMPLE`` training texts of at most ``SAMPLE_TOKENS`` tokens, chosen by a hash, from fixed noise."""
-    some = texts.where(~F.col("held_out") & (F.col("n_tokens") <= SAMPLE_TOKENS))
-    parts = [bytes(r["classes"]) for r in smallest_hashes(some.select("classes"), ["classes"], SAMPLE).collect()]
+def first_model(unigram: np.ndarray, states: int = STATES) -> Model:
+    """Unigram emissions with fixed noise, and states that tend to stay."""
     noise = np.random.default_rng(7)
     emit = unigram * np.exp(noise.normal(0.0, 0.5, size=(states, len(unigram))))
-    model = Model(np.full(states, 1.0 / states), np.full((states, states), 0.4 / states) + 0.6 * np.eye(states), emit / emit.sum(axis=1, keepdims=True))
-    if parts:
-        classes, begin = _joined(parts)
-        for _ in range(SAMPLE_ROUNDS):
-            model = maximised(*recursion(classes, begin, model, True)[1:], unigram)
-    return model
+    return Model(np.full(states, 1.0 / states), np.full((states, states), 0.4 / states) + 0.6 * np.eye(states), emit / emit.sum(axis=1, keepdims=True))
 
 
 def _groups(batches, index: int):
@@ -323,37 +317,47 @@ def _group(held: list, index: int):
     return (held, *_joined(parts))
 
 
-def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray, passes: int = PASSES) -> Model:
-    """``passes`` rounds over all training texts; expected counts are summed across tasks."""
+def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray, tokens: int, gain: float = GAIN) -> tuple[Model, list[float]]:
+    """Rounds over all training texts until the likelihood rises by less than ``gain`` a token, and the likelihood a token before each.
+
+    Expected counts are summed across tasks.
+    """
     train = texts.where(~F.col("held_out")).select("classes")
     states = len(model.start)
     names = [f"s{i}" for i in range(states)]
-    for _ in range(passes):
+    likes: list[float] = []
+    while len(likes) < 2 or likes[-1] - likes[-2] >= gain:
         shared = texts.sparkSession.sparkContext.broadcast(model)  # states x (HEAD + TAIL) numbers
 
         def run(batches):
             started, moved, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((states, len(unigram)))
+            total = np.zeros(states)
             for _, classes, begin in _groups(batches, 0):
-                _, a, b, c = recursion(classes, begin, shared.value, True)
+                like, a, b, c = recursion(classes, begin, shared.value, True)
                 started, moved, emitted = started + a, moved + b, emitted + c
-            # rows -1: starts; -2 - i: moves from state i; others: emissions of a class
+                total[0] += like.sum()
+            # rows -1: starts; -2 - i: moves from state i; -2 - states: likelihood; others: emissions of a class
             used = np.flatnonzero(emitted.any(axis=0))
-            row = np.concatenate([[-1], -2 - np.arange(states), used])
-            body = np.vstack([started, moved, emitted[:, used].T])
+            row = np.concatenate([[-1], -2 - np.arange(states + 1), used])
+            body = np.vstack([started, moved, total, emitted[:, used].T])
             yield pa.RecordBatch.from_arrays([pa.array(row), *(pa.array(np.ascontiguousarray(body[:, i])) for i in range(states))], names=["row", *names])
 
         sums = map_arrow(train, run, "row long, " + ", ".join(f"{n} double" for n in names)).groupBy("row").agg(*[F.sum(n).alias(n) for n in names])
         started, moved, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((states, len(unigram)))
-        for r in sums.collect():  # 1 + states + classes rows
+        like = 0.0
+        for r in sums.collect():  # 2 + states + classes rows
             value = np.array([r[n] for n in names])
             if r["row"] == -1:
                 started = value
+            elif r["row"] == -2 - states:
+                like = value[0]
             elif r["row"] < -1:
                 moved[-2 - r["row"]] = value
             else:
                 emitted[:, r["row"]] = value
         model = maximised(started, moved, emitted, unigram)
-    return model
+        likes.append(like / max(tokens, 1))
+    return model, likes
 
 
 def score(texts: DataFrame, model: Model, train_tokens: int) -> DataFrame:
@@ -375,14 +379,14 @@ def score(texts: DataFrame, model: Model, train_tokens: int) -> DataFrame:
     return map_arrow(source, run, schema)
 
 
-def language_model(docs: DataFrame, states: int = STATES, passes: int = PASSES, head: int = HEAD) -> DataFrame:
+def language_model(docs: DataFrame, states: int = STATES, head: int = HEAD, gain: float = GAIN) -> DataFrame:
     """Train on the rows of ``docs`` (doc_id, held_out, text) that are not held out and score them all."""
     tokens = tokenised(docs)
     counts = word_counts(tokens)
     words = vocabulary(counts, head)
     texts = resolved(tokens, counts, words)
     unigram = (words.class_count + 1.0) / (words.class_count.sum() + words.classes)
-    model = baum_welch(texts, first_model(texts, unigram, states), unigram, passes)
+    model, _ = baum_welch(texts, first_model(unigram, states), unigram, words.tokens, gain)
     return score(texts, model, words.tokens)
 
 

@@ -89,6 +89,15 @@ def test_topics_help(spark):
     assert total[0] > total[1] + 300
 
 
+def test_long_texts_are_learnt_from(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"t{i % 2}w{rng.randrange(60)}" for _ in range(2_500))) for i in range(30)]
+    docs = frame(spark, rows).withColumn("held_out", F.col("doc_id") % 5 == 0)
+    got = op.language_model(docs.select("doc_id", "held_out", "text"), states=3).where("held_out")
+    total = got.agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert total[0] > total[1] + 0.25 * total[2]
+
+
 def test_nothing_to_learn_and_empty(spark):
     docs = frame(spark, awkward()).withColumn("held_out", F.lit(True)).select("doc_id", "held_out", "text")
     got = op.language_model(docs).collect()
