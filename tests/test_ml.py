@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from given import SF001
 from ledgerline import catalog as C
 from ledgerline.operators import ml as ML
 

@@ -3,7 +3,7 @@ and scans prune columns and push filters."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from given import SF001
 from ledgerline import catalog as C
 from ledgerline.operators import backtest as BT
 
