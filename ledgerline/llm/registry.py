@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.llm.op10_hmm_lm import op10_hmm_lm
+from ledgerline.llm.op13_merkle_manifest import op13_merkle_manifest, oracle as _merkle_sql
 from ledgerline.llm.op1_suffix_dedup import op1_suffix_dedup
 from ledgerline.llm.op2_decontaminate import op2_decontaminate
 from ledgerline.llm.op3_minhash_dedup import op3_minhash_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hmm_lm": op10_hmm_lm,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op13_merkle_manifest": _merkle_sql()}
