@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerline.llm.op10_hmm_lm import op10_hmm_lm
 from ledgerline.llm.op11_conversation_repair import op11_conversation_repair, oracle as _repair_sql
+from ledgerline.llm.op12_token_files import op12_token_files
 from ledgerline.llm.op13_merkle_manifest import op13_merkle_manifest, oracle as _merkle_sql
 from ledgerline.llm.op1_suffix_dedup import op1_suffix_dedup
 from ledgerline.llm.op2_decontaminate import op2_decontaminate
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_hmm_lm": op10_hmm_lm,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_files": op12_token_files,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
