@@ -45,7 +45,7 @@ SLOT_BITS = 9
 #: Distinct pieces of text whose ids a worker remembers; beyond it the memory is emptied (results stay the same).
 REMEMBERED = 3_000_000
 #: Bytes of text whose pieces are looked up together.
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 4 << 20
 RANGE_PREFIX = 64
 #: Fixed values of the file format: mark, version, end mark.
 MAGIC, VERSION, TAIL = b"LTID", 1, b"\n"
@@ -75,14 +75,19 @@ class Mixer:
 
     def __init__(self, lanes: int, ranks: int, size: int):
         self.bits = int(_OCTAVE[max(ranks, 1) - 1])
-        # both points together weigh less than 2**31, so that all masses fit into any range
-        most = (self.bits + 1 + _GROWTH * size) << self.bits
-        self.top = int(np.searchsorted(_ODDS, (1 << 30) / most * 65536, side="right")) - 1
+        # both points together weigh less than 2**31, so that all masses fit into any range; a point weighs something
+        least, most = (self.bits + 1) << self.bits, (self.bits + 1 + _GROWTH * size) << self.bits
+        top = int(np.searchsorted(_ODDS, (1 << 30) / most * 65536, side="right")) - 1
+        self.weight = np.maximum(_ODDS, -(-65536 // least))
+        self.weight[0] = 0
+        self.next = np.minimum(_NEXT, top)
         self.lane = np.arange(lanes)
         self.base = self.lane << SLOT_BITS
         self.slots = [self.base, self.base]
-        self.tables = [np.zeros(lanes << SLOT_BITS, np.int32) for _ in range(2)]  # predicted rank, and confidence from bit 16
-        self.odds = [np.tile(np.minimum(np.array([0, 257, 513, 641], np.int64), self.top), lanes) for _ in range(2)]
+        # predicted rank, and from bit 17 whether there is none yet, the slot's last one failed, or it came true
+        self.tables = [np.full(lanes << SLOT_BITS, _RANKS, np.int32) for _ in range(2)]
+        self.odds = [np.tile(np.minimum(np.array([0, 257, 641, 0], np.int64), top), lanes) for _ in range(2)]
+        self.cells = self.lane << 2
         # counts below each octave, one row an octave that some rank has
         self.below = np.repeat(np.arange(self.bits + 2, dtype=np.int32)[:, None], lanes, axis=1)
         self.count = self.bits + 1
@@ -90,38 +95,43 @@ class Mixer:
 
     def shrink(self, lanes: int) -> None:
         """Keep the first ``lanes`` blocks; the others have ended."""
-        self.lane, self.base, self.below, self.last = self.lane[:lanes], self.base[:lanes], self.below[:, :lanes].copy(), self.last[:lanes]
+        self.lane, self.cells, self.base, self.below, self.last = self.lane[:lanes], self.cells[:lanes], self.base[:lanes], self.below[:, :lanes].copy(), self.last[:lanes]
         self.slots = [s[:lanes] for s in self.slots]
 
     def points(self) -> list[tuple]:
-        """(rank, confidence, place of the odds, their state, mass) of order 2 and of order 1."""
+        """(rank, place of the odds, their state, mass) of order 2 and of order 1."""
         out = []
+        whole = self.count << self.bits
         for k in (0, 1):
             entry = self.tables[k].take(self.slots[k])
-            confidence = entry >> 16
-            at = (self.lane << 2) + confidence
+            at = self.cells + (entry >> 17)
             state = self.odds[k].take(at)
-            out.append((entry & 0xFFFF, confidence, at, state, ((_ODDS.take(state) * (self.count << self.bits)) >> 16) + (confidence > 0)))
+            mass = self.weight.take(state)
+            mass *= whole
+            mass >>= 16
+            out.append((entry & 0x1FFFF, at, state, mass))
         return out
 
     def learn(self, x: np.ndarray, points: list[tuple], hits: list[np.ndarray]) -> None:
-        for k, ((_, confidence, at, state, _), hit) in enumerate(zip(points, hits)):
-            self.odds[k][at] = np.minimum(_NEXT.take(state + hit * len(_ODDS)), self.top)
-            # a hit raises the confidence; a miss lowers it, and replaces a prediction of the least
-            kept = np.where(hit, np.minimum(confidence + 1, 3), confidence - 1)
-            old = kept > 0
-            entry = np.where(old, points[k][0], x)
-            entry += np.maximum(kept, 1) << 16
-            self.tables[k][self.slots[k]] = entry
+        for k, ((_, at, state, _), hit) in enumerate(zip(points, hits)):
+            state = state + np.multiply(hit, len(_ODDS), dtype=np.int64)
+            self.odds[k][at] = self.next.take(state)
+            self.tables[k][self.slots[k]] = x + ((hit + np.int32(1)) << 17)
         grown = (_EDGES[: len(self.below)] > _SMALL.take(x)).view(np.int8)
         grown *= _GROWTH
         self.below += grown
         self.count += _GROWTH
-        mixed = x * 40503
-        pair = mixed + self.last * 30011
-        self.slots[1] = self.base + ((mixed ^ (mixed >> 7)) & ((1 << SLOT_BITS) - 1))
-        self.slots[0] = self.base + ((pair ^ (pair >> 9)) & ((1 << SLOT_BITS) - 1))
-        self.last = x
+        mask = (1 << SLOT_BITS) - 1
+        near = x ^ (x >> SLOT_BITS)
+        near &= mask
+        near += self.base
+        pair = x * 40503
+        pair += self.last
+        pair ^= pair >> 9
+        pair &= mask
+        pair += self.base
+        self.slots = [pair, near]
+        self.last = x * 30011
 
 
 def _narrow(low: np.ndarray, span: np.ndarray, n: int) -> np.ndarray:
@@ -167,8 +177,8 @@ def _encode_group(ranks: np.ndarray, starts: np.ndarray, sizes: np.ndarray, dist
             mixer.shrink(n)
         x = ranks.take(starts[:n] + t)
         points = mixer.points()
-        (guess2, sure2, _, _, mass2), (guess1, sure1, _, _, mass1) = points
-        hits = [(guess2 == x) & (sure2 > 0), (guess1 == x) & (sure1 > 0)]
+        (guess2, _, _, mass2), (guess1, _, _, mass1) = points
+        hits = [guess2 == x, guess1 == x]
         both = mass2 + mass1
         octave = _OCTAVE.take(x)
         edge = octave * n + mixer.lane
@@ -213,7 +223,7 @@ def _decode_group(words: np.ndarray, first: np.ndarray, sizes: np.ndarray, disti
         if n < len(mixer.lane):
             mixer.shrink(n)
         points = mixer.points()
-        (guess2, sure2, _, _, mass2), (guess1, sure1, _, _, mass1) = points
+        (guess2, _, _, mass2), (guess1, _, _, mass1) = points
         both = mass2 + mass1
         total = both + (mixer.count << mixer.bits)
         part = span[:n] // total.view(np.uint64)
@@ -241,7 +251,7 @@ def _decode_group(words: np.ndarray, first: np.ndarray, sizes: np.ndarray, disti
         code[at] = (code[at] << _WORD) | take(following[at])
         following[at] += 1
         out[starts[:n] + t] = x
-        mixer.learn(x, points, [(guess2 == x) & (sure2 > 0), (guess1 == x) & (sure1 > 0)])
+        mixer.learn(x, points, [guess2 == x, guess1 == x])
 
 
 # --- ids of texts --------------------------------------------------------------------------------------------------
@@ -324,9 +334,9 @@ class Encoder:
         sizes = np.array([len(p) for p in parts], np.int64)
         starts = len(self.pool) + np.concatenate([[0], np.cumsum(sizes)])[:-1]
         self.pool = np.concatenate([self.pool, *parts]).astype(np.uint16)
-        every = np.concatenate([self.hashes, hashes])
-        order = np.argsort(every)
-        self.hashes, self.starts, self.sizes = every[order], np.concatenate([self.starts, starts])[order], np.concatenate([self.sizes, sizes])[order]
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.hashes, self.starts, self.sizes = (np.insert(old, at, new[order]) for old, new in ((self.hashes, hashes), (self.starts, starts), (self.sizes, sizes)))
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
