@@ -77,9 +77,9 @@ def with_previous(
 
 
 def add_returns(df: DataFrame, cost: float | Column) -> DataFrame:
-    """gross = signal * next_return; net = gross - cost * trade."""
+    """gross = signal * next_return; net = gross - cost * trade.  A NaN return is a missing one."""
     cost_col = cost if isinstance(cost, Column) else F.lit(float(cost))
-    gross = F.col("signal") * F.col("next_return")
+    gross = F.col("signal") * nan_to_null("next_return")
     return df.withColumns(
         {
             "gross_strategy_return": gross,
@@ -302,7 +302,7 @@ def sweep_daily(
     # a row is long at positions 0 .. _cnt - 1 and trades at positions lo .. hi - 1
     none = F.lit(None).cast("double")
     events = F.array(
-        F.struct((F.col("_cnt") - 1).alias("g"), F.lit(1).alias("s"), F.col("next_return").cast("double").alias("x"), F.lit(0).alias("d")),
+        F.struct((F.col("_cnt") - 1).alias("g"), F.lit(1).alias("s"), nan_to_null("next_return").alias("x"), F.lit(0).alias("d")),
         F.struct((hi - 1).alias("g"), F.lit(0).alias("s"), none.alias("x"), F.lit(1).alias("d")),
         F.struct((lo - 1).alias("g"), F.lit(0).alias("s"), none.alias("x"), F.lit(-1).alias("d")),
     )
@@ -310,7 +310,7 @@ def sweep_daily(
     at_position = ev.groupBy(*keys, TIME, F.col("e.g").alias("_g")).agg(
         F.sum("e.s").alias("_ds"), F.sum("e.x").alias("_dx"), F.sum("e.d").alias("_dd")
     )
-    days = rows.groupBy(*keys, TIME).agg(F.count(F.lit(1)).alias("_n"), F.count("next_return").alias("_known"))
+    days = rows.groupBy(*keys, TIME).agg(F.count(F.lit(1)).alias("_n"), F.count(nan_to_null("next_return")).alias("_known"))
     days, longest, runs = S.with_ordinal_info(days, keys, TIME)
     dense = days.select(*keys, TIME, S.ORD, "_n", "_known", F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias("_g"))
     joined = dense.join(at_position, [*keys, TIME, "_g"], "left")

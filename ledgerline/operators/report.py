@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import SQRT_YEAR
+from ledgerline.functions.columns import nan_to_null, SQRT_YEAR
 from ledgerline.functions.labels import METRIC_LABELS, MODEL_LABELS, STRATEGY_LABELS
 from ledgerline.operators.classification import null_safe_join
 from ledgerline.plans import series as S
@@ -99,25 +99,35 @@ def rolling_sharpe(curve: DataFrame, run_keys: Sequence[str], window: int = 63)
     return out.where(F.col(S.OWN)).drop(S.ORD, S.BLK, S.OWN)
 
 
-def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Counts in ``bins`` equal-width bins over [min, max]; the max lands in the last bin."""
-    lo, hi = df.agg(F.min(value), F.max(value)).first()  # two scalars
-    if lo is None:
-        return df.sparkSession.createDataFrame([], f"bin int, bin_start double, bin_end double, count long")
-    width = (hi - lo) / bins if hi > lo else 1.0
-    b = F.least(F.floor((F.col(value) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+def _edges(df: DataFrame, value: str, bins: int) -> tuple[float, float]:
+    """Lowest known value (0 if there is none) and the width of a bin (1 where all values are equal)."""
+    known = nan_to_null(value)
+    lo, hi = df.agg(F.min(known), F.max(known)).first()  # two scalars
+    return (0.0, 1.0) if lo is None else (lo, (hi - lo) / bins if hi > lo else 1.0)
+
+
+def _binned(df: DataFrame, value: str, bins: int, by: Sequence[str], lo: float, width: float) -> DataFrame:
+    known = nan_to_null(value)
+    b = F.least(F.floor((known - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    counts = df.where(known.isNotNull()).groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     return counts.withColumns(
         {"bin_start": F.lit(lo) + F.col("bin") * F.lit(width), "bin_end": F.lit(lo) + (F.col("bin") + 1) * F.lit(width)}
     )
 
 
+def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
+    """Counts in ``bins`` equal-width bins over [min, max]; the max lands in the last bin.
+
+    Null and NaN values are left out; without values there are no bins.
+    """
+    return _binned(df, value, bins, by, *_edges(df, value, bins))
+
+
 def density(df: DataFrame, value: str, bins: int, by: Sequence[str]) -> DataFrame:
     """Common bins, each series normalised on its own (count / (n_series * width))."""
-    lo, hi = df.agg(F.min(value), F.max(value)).first()
-    width = (hi - lo) / bins if hi > lo else 1.0
-    h = histogram(df, value, bins, by)
-    n = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    lo, width = _edges(df, value, bins)
+    h = _binned(df, value, bins, by, lo, width)
+    n = df.where(nan_to_null(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     return null_safe_join(h, n, list(by)).withColumn("density", F.col("count") / (F.col("_n") * F.lit(width))).drop("_n")
 
 

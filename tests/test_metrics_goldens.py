@@ -1,50 +1,52 @@
-"""Inline goldens of the classification metrics (FIXTURES.md B4-B5) and edge cases."""
+"""Classification metrics by hand: counts written out beside the rows."""
+
+import itertools
+import random
 
 import pytest
 
 from ledgerline.operators import classification as CL
 
+# 4 hits, 1 false alarm, 2 misses, 3 right rejections
+HITS, ALARMS, MISSES, REJECTED = 4, 1, 2, 3
+ROWS = [(1, 1)] * HITS + [(0, 1)] * ALARMS + [(1, 0)] * MISSES + [(0, 0)] * REJECTED
+
 
-def _frame(spark, y_true, y_pred, proba=None):
-    proba = proba or [None] * len(y_true)
-    rows = [("g", t, p, s) for t, p, s in zip(y_true, y_pred, proba)]
+def _frame(spark, pairs, scores=None):
+    rows = [("g", t, p, s) for (t, p), s in zip(pairs, scores or [None] * len(pairs))]
     return spark.createDataFrame(rows, "grp string, y_true int, y_pred int, score double")
 
 
-def test_metric_set_and_accuracy(spark):
-    m = CL.classification_metrics(_frame(spark, [0, 1, 1, 0], [0, 1, 0, 0]), ["grp"], "y_true", "y_pred").collect()[0]
-    assert set(m.asDict()) - {"grp"} == {"accuracy", "balanced_accuracy", "precision", "recall", "f1"}
-    assert m.accuracy == pytest.approx(0.75)
-    assert m.precision == pytest.approx(1.0)
-    assert m.recall == pytest.approx(0.5)
-    assert m.balanced_accuracy == pytest.approx(0.75)
-    assert m.f1 == pytest.approx(2 / 3)
+def _one(df):
+    (row,) = df.collect()
+    return row
+
 
+def test_five_metrics_of_ten_rows(spark):
+    m = _one(CL.classification_metrics(_frame(spark, ROWS), ["grp"], "y_true", "y_pred"))
+    want = {"accuracy": 7 / 10, "balanced_accuracy": (4 / 6 + 3 / 4) / 2, "precision": 4 / 5, "recall": 4 / 6, "f1": 8 / 11}
+    assert m.asDict() == {"grp": "g", **{k: pytest.approx(v) for k, v in want.items()}}
 
-def test_roc_auc_golden(spark):
-    df = _frame(spark, [0, 1, 1, 0], [0, 1, 0, 0], [0.1, 0.9, 0.4, 0.2])
-    auc = CL.roc_auc(df, ["grp"], "y_true", "score").collect()[0].roc_auc
-    assert auc == pytest.approx(1.0)
 
+def test_area_by_counting_pairs(spark):
+    """Of 3 x 2 pairs four are in order and one is tied."""
+    df = _frame(spark, [(1, 1), (1, 1), (1, 1), (0, 0), (0, 0)], [0.8, 0.35, 0.2, 0.35, 0.1])
+    assert _one(CL.roc_auc(df, ["grp"], "y_true", "score")).roc_auc == pytest.approx(4.5 / 6)
 
-def test_roc_auc_ties_and_brute_force(spark):
-    import itertools
-    import random
 
+def test_area_with_many_ties_against_all_pairs(spark):
     rnd = random.Random(7)
-    y = [rnd.randint(0, 1) for _ in range(300)]
-    s = [rnd.randint(0, 40) / 40 for _ in range(300)]  # many ties
-    df = _frame(spark, y, y, s)
-    got = CL.roc_auc(df, ["grp"], "y_true", "score", range_rows=5).collect()[0].roc_auc
-    pos = [a for a, t in zip(s, y) if t == 1]
-    neg = [a for a, t in zip(s, y) if t == 0]
-    u = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in itertools.product(pos, neg))
-    assert got == pytest.approx(u / (len(pos) * len(neg)))
-
-
-def test_zero_division_and_single_class(spark):
-    m = CL.classification_metrics(_frame(spark, [0, 0], [0, 0]), ["grp"], "y_true", "y_pred").collect()[0]
-    assert (m.precision, m.recall, m.f1) == (0.0, 0.0, 0.0)
-    assert m.balanced_accuracy == pytest.approx(1.0)
-    auc = CL.roc_auc(_frame(spark, [0, 0], [0, 0], [0.1, 0.2]), ["grp"], "y_true", "score").collect()[0].roc_auc
-    assert auc is None
+    pairs = [(rnd.randint(0, 1), 0) for _ in range(300)]
+    scores = [rnd.randint(0, 40) / 40 for _ in pairs]
+    got = _one(CL.roc_auc(_frame(spark, pairs, scores), ["grp"], "y_true", "score", range_rows=5)).roc_auc
+    up = [s for s, (t, _) in zip(scores, pairs) if t]
+    down = [s for s, (t, _) in zip(scores, pairs) if not t]
+    won = sum((a > b) + (a == b) / 2 for a, b in itertools.product(up, down))
+    assert got == pytest.approx(won / (len(up) * len(down)))
+
+
+def test_one_class_only(spark):
+    df = _frame(spark, [(0, 0), (0, 0)], [0.1, 0.2])
+    m = _one(CL.classification_metrics(df, ["grp"], "y_true", "y_pred"))
+    assert (m.precision, m.recall, m.f1, m.balanced_accuracy) == (0.0, 0.0, 0.0, 1.0)
+    assert _one(CL.roc_auc(df, ["grp"], "y_true", "score")).roc_auc is None

@@ -34,3 +34,11 @@ def test_melt_and_recode(spark):
     df = spark.createDataFrame([("m", 0.5, 0.25, 0.75)], "model_key string, accuracy double, f1 double, recall double")
     long = RP.recode_metrics(RP.melt(df, ["model_key"], ["accuracy", "f1", "recall"]))
     assert {(r.metric, r.value) for r in long.collect()} == {("Accuracy", 0.5), ("F1", 0.25), ("recall", 0.75)}
+
+
+def test_no_rows_and_missing_values_have_no_bins(spark):
+    empty = spark.createDataFrame([], "k string, v double")
+    assert RP.density(empty, "v", 45, ["k"]).collect() == [] and RP.histogram(empty, "v", 4, ["k"]).collect() == []
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("b", None), ("b", 3.0)], "k string, v double")
+    d = {r["k"]: (r["bin"], r["count"], r["density"]) for r in RP.density(df, "v", 4, ["k"]).collect()}
+    assert d == {"a": (0, 1, 2.0), "b": (3, 1, 2.0)}
