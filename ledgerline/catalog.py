@@ -990,4 +990,4 @@ def q_curve_sink_scan(spark, sf_dir):
     return back.select(*RUN, "Date", *r6(*CURVE_COLUMNS))
 
 
-from ledgerline import catalog_jobs  # noqa: E402, F401 - registers its queries
+from ledgerline import catalog_jobs, catalog_models  # noqa: E402, F401 - register their queries
