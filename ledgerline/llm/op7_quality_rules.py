@@ -6,10 +6,12 @@ A document is compared with per-language references by two histograms:
   ``#*$%&|<>`` and everything else;
 * common words: one bin for the listed function words of each language, one for all other words.
 
-The references are the summed histograms of all documents of each language.
+The references are the summed histograms of all documents of each language, character classes for every value of
+``lang`` in the data, common words for the languages whose words are listed.
 The divergence is the Jensen-Shannon distance (square root of the divergence
-to base 2, 0 to 1).  A document passes when, for at least one language, both
-distances are within their limits.  A test only applies from a minimum length
+to base 2, 0 to 1).  A document passes when, for at least one listed language, both
+distances are within their limits.  A document whose ``lang`` is not listed also passes when its character classes are within
+the limit of its own language's reference: there is no reference to hold its words against.  A test only applies from a minimum length
 on; shorter texts are never rejected by it.
 
 Null texts count as empty: all counts 0, rejected by the base rule.  Rows are
@@ -99,41 +101,52 @@ def histograms(df: DataFrame, text: str, rules: Rules) -> DataFrame:
     ).drop("_upper", "_letters", "_digit", "_hits")
 
 
-def references(docs: DataFrame, text: str, lang: str, rules: Rules) -> dict[str, tuple[list[float], list[float]]]:
-    """Share of every bin over all documents of each listed language (at most one small row a language)."""
+def _shares(row, name: str, n: int) -> list[float]:
+    own = [max(row[f"{name}{i}"] or 0, 0) for i in range(n)]
+    return [x / sum(own) for x in own] if sum(own) else []
+
+
+def references(docs: DataFrame, text: str, lang: str, rules: Rules) -> tuple[dict[str, tuple[list[float], list[float]]], dict[str, list[float]]]:
+    """Shares of the bins over all documents: both histograms of the listed languages, character classes of the others.
+
+    The driver receives one small row a language.
+    """
     base = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), F.col(lang).alias("_lang"))
-    base = histograms(base.where(F.col("_lang").isin(list(rules.languages))), "_text", rules)
+    base = histograms(base.where(F.col("_lang").isNotNull()), "_text", rules)
     n_classes, n_common = len(CHARACTER_CLASSES), len(rules.languages) + 1
     sums = [F.sum(F.col("_classes")[i]).alias(f"a{i}") for i in range(n_classes)]
     sums += [F.sum(F.col("_common")[i]).alias(f"b{i}") for i in range(n_common)]
-    out = {}
+    listed, others = {}, {}
     for row in base.groupBy("_lang").agg(*sums).collect():
-        shares = []
-        for name, n in (("a", n_classes), ("b", n_common)):
-            own = [max(row[f"{name}{i}"], 0) for i in range(n)]
-            total = sum(own)
-            shares.append([x / total if total else 0.0 for x in own])
-        if any(shares[0]) and any(shares[1]):
-            out[row["_lang"]] = (shares[0], shares[1])
-    return dict(sorted(out.items()))
-
-
-def _distance(counts: str, total: Column, reference: list[float]) -> Column:
-    """Jensen-Shannon distance of ``counts`` / ``total`` and the fixed shares ``reference``."""
+        classes, common = _shares(row, "a", n_classes), _shares(row, "b", n_common)
+        if row["_lang"] in rules.languages:
+            if classes and common:
+                listed[row["_lang"]] = (classes, common)
+        elif classes:
+            others[row["_lang"]] = classes
+    return dict(sorted(listed.items())), dict(sorted(others.items()))
+
+
+def _distance(counts: str, total: Column, reference: list[float] | Column) -> Column:
+    """Jensen-Shannon distance of ``counts`` / ``total`` and the shares ``reference`` (of as many character classes, if a column)."""
     parts = F.lit(0.0)
-    for i, q in enumerate(reference):
+    for i in range(len(CHARACTER_CLASSES) if isinstance(reference, Column) else len(reference)):
         p = F.col(counts)[i] / total
-        middle = (p + F.lit(q)) / 2
+        q = F.get(reference, F.lit(i)) if isinstance(reference, Column) else F.lit(reference[i])
+        middle = (p + q) / 2
         parts = parts + F.when(p > 0, p * F.log2(p / middle)).otherwise(F.lit(0.0)) / 2
-        if q > 0:
-            parts = parts + F.lit(q) * F.log2(F.lit(q) / middle) / 2
+        parts = parts + F.when(q > 0, q * F.log2(q / middle)).otherwise(F.lit(0.0)) / 2
     return F.sqrt(F.greatest(parts, F.lit(0.0)))
 
 
 def annotate(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with counts, distances and ``kept``; one pass for the references, one for the rows."""
-    refs = references(docs, text, lang, rules)
-    df = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    refs, others = references(docs, text, lang, rules)
+    own = F.lit(None).cast("array<double>")
+    if others:
+        entries = [x for name, shares in others.items() for x in (F.lit(name), F.array(*[F.lit(q) for q in shares]))]
+        own = F.try_element_at(F.create_map(*entries), F.col(lang))
+    df = docs.withColumns({"_text": F.coalesce(F.col(text), F.lit("")), "_own": own})
     df = histograms(df, "_text", rules)
     k = rules.window
     df = df.withColumns(
@@ -177,14 +190,17 @@ def annotate(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang:
         ((F.col("_chars") < rules.min_chars_for_classes) | (d["c"] <= rules.max_class_distance))
         & ((F.col("n_words") < rules.min_words_for_common) | (d["w"] <= rules.max_common_distance))
     )
-    method = F.exists("_near", fits) if pairs else F.lit(True)
+    method = F.exists("_near", fits) if pairs else F.lit(not others)
+    if others:
+        close = (F.col("_chars") < rules.min_chars_for_classes) | (_distance("_classes", chars, F.col("_own")) <= rules.max_class_distance)
+        method = method | (F.col("_own").isNotNull() & close) | (F.lit(not pairs) & F.col("_own").isNull())
     return df.withColumns(
         {
             "class_distance": F.array_min(F.transform("_near", lambda d: d["c"])),
             "common_distance": F.array_min(F.transform("_near", lambda d: d["w"])),
             "kept": ~F.col("base_failed") & method,
         }
-    ).drop("_text", "_classes", "_common", "_chars", "_near")
+    ).drop("_text", "_own", "_classes", "_common", "_chars", "_near")
 
 
 def keep(docs: DataFrame, rules: Rules = Rules(), text: str = "text", lang: str = "lang") -> DataFrame:

@@ -117,3 +117,17 @@ def test_texts_without_common_words_are_rejected(spark):
     assert all(got[i]["kept"] for i in range(40))
     assert not any(got[i]["kept"] or got[i]["base_failed"] for i in range(100, 105))
     assert all(got[i]["class_distance"] <= op.Rules().max_class_distance for i in got)
+
+
+def test_languages_without_listed_words_are_held_against_themselves(spark):
+    rng = random.Random(8)
+    common = op.COMMON_WORDS["en"]
+    english = [(i, " ".join(rng.choice(common) if rng.random() < 0.4 else f"word{chr(97 + rng.randrange(26))}" for _ in range(120)), "en") for i in range(5)]
+    finnish = [(10 + i, " ".join(rng.choice(["talossa", "vesi", "kirja", "mutta", "joka", "sitten", "yksi"]) for _ in range(119)) + f" loppu{i}", "fi") for i in range(5)]
+    scripts = [(20 + i, "".join(chr(0x4E00 + rng.randrange(500)) + ("、 " if j % 9 == 8 else "") for j in range(600)), "zh") for i in range(5)]
+    noise = [(30, " ".join("#$%&*|<>" for _ in range(60)), "fi"), (31, " ".join(rng.choice(["talossa", "vesi", "kirja"]) for _ in range(100)), None)]
+    loose = op.Rules(max_repeat_percent=100)
+    got = {r["doc_id"]: r["kept"] for r in op.annotate(frame(spark, english + finnish + scripts + noise), loose).collect()}
+    assert [i for i, kept in got.items() if not kept] == [30, 31]
+    only = {r["doc_id"]: r["kept"] for r in op.annotate(frame(spark, finnish + noise), loose).collect()}
+    assert all(only[i] for i in range(10, 15)) and not only[30] and only[31]
