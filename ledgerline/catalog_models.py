@@ -8,6 +8,7 @@ from ledgerline import catalog as C
 from ledgerline import oracle as O
 from ledgerline.catalog import CLASS_METRICS, r6, register
 from ledgerline.operators import classification as CL
+from ledgerline.operators import forest as FO
 from ledgerline.operators import ml as ML
 from ledgerline.operators import trees as TR
 from ledgerline.session import ensure_checkpoint_dir
@@ -156,3 +157,29 @@ def q_boosted_tree_report(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     path = SK.write_table(out, C.results_dir(spark, sf_dir, "boosted_report"), "csv", order_by=["stage", "split"])
     return SK.read_result(spark, path, out.schema, "csv")
+
+
+# ------------------------------------------------------------------- forest ---
+SAMPLES = 6
+
+
+@register(
+    "forest_bootstrap",
+    O.with_prepared(
+        f""",
+{O.CRC_CTE},
+keyed AS (SELECT target, {O.crc_sql("index_name || '|' || CAST(" + chr(34) + "Date" + chr(34) + " AS VARCHAR)")} AS h FROM dataset, crc WHERE split = 'train'),
+hashed AS (SELECT k.target, t.tree, {O.mixed_sql("k.h", f"t.tree + {1000 * ML.ModelParams().seed}")} AS u FROM keyed k, range({SAMPLES}) t(tree)),
+weighted AS (SELECT target, tree, {" + ".join(f"CASE WHEN u >= {x} THEN 1 ELSE 0 END" for x in FO.POISSON)} AS w FROM hashed),
+sums AS (
+  SELECT tree, count(*) FILTER (w > 0) AS rows, CAST(coalesce(sum(w) FILTER (target = 0), 0) AS BIGINT) AS w0, CAST(coalesce(sum(w) FILTER (target = 1), 0) AS BIGINT) AS w1
+  FROM weighted GROUP BY tree)
+SELECT CAST(tree AS INTEGER) AS tree, rows, w0, w1, round((w0 + w1) / (2.0 * w0), 6) AS weight0, round((w0 + w1) / (2.0 * w1), 6) AS weight1 FROM sums"""
+    ).replace("\n,\ncrc", ",\ncrc"),
+)
+def q_forest_bootstrap(spark, sf_dir):
+    """M2: rows and class weights of the first bootstrap samples of the forest."""
+    train = C.modeling_dataset(spark, sf_dir).where("split = 'train'")
+    out = FO.bootstrap_totals(train, "target", ["index_name", "Date"], SAMPLES, ML.ModelParams().seed)
+    total = F.col("w0") + F.col("w1")
+    return out.select("tree", "rows", "w0", "w1", F.round(total / (2.0 * F.col("w0")), 6).alias("weight0"), F.round(total / (2.0 * F.col("w1")), 6).alias("weight1"))

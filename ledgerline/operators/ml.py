@@ -4,12 +4,11 @@ The estimators play the reference's roles with MLlib equivalents:
 
 * ``log_reg``: standardise + logistic regression with balanced class weights
   (L2, ``regParam = 1 / n`` for sklearn's ``C = 1`` on a weight sum of n),
-* ``random_forest``: random forest, leaf >= 20, sqrt features, balanced weights,
+* ``random_forest``: the forest of ``operators/forest.py``: leaves of at least 20 rows, sqrt features, balanced bootstrap samples,
 * ``hist_gradient_boosting``: the trees of ``operators/trees.py``: best leaf first to
   15 leaves of at least 20 rows, learning rate 0.04, L2 0.2, 255 bins.
 
-Defaults are the full sizes: 400 trees, 250 boosting rounds, and forest trees as deep
-as MLlib allows (30); leaves of at least 20 rows end a branch long before.
+Defaults are the full sizes: 400 trees and 250 boosting rounds.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.labels import MODEL_LABELS
 from ledgerline.operators.classification import minmax_scores
+from ledgerline.operators.forest import Forest, ForestParams, fit_forest
 from ledgerline.operators.trees import BoostedTrees, BoostParams, fit_boosting
 
 LABEL = "target"
@@ -37,11 +37,13 @@ MODEL_KEYS = ("log_reg", "random_forest", "hist_gradient_boosting")
 class ModelParams:
     num_trees: int = 400
     boosting_rounds: int = 250
-    max_depth: int = 30  # MLlib's limit
     max_iter: int = 2000
     seed: int = 42
 
 
+#: A fitted model: each kind has ``transform``.
+Model = PipelineModel | BoostedTrees | Forest
+
 ROWS_PER_TASK = 50_000  # training rows of one task; every boosting round is a few jobs over all tasks
 
 
@@ -65,17 +67,13 @@ def build_pipeline(key: str, features: Sequence[str], n_rows: int, params: Model
             regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, standardization=False,
         )
         return Pipeline(stages=[assembler, scaler, lr])
-    if key == "random_forest":
-        rf = RandomForestClassifier(
-            featuresCol="_features", labelCol=LABEL, weightCol=WEIGHT, numTrees=params.num_trees,
-            minInstancesPerNode=20, featureSubsetStrategy="sqrt", maxDepth=params.max_depth, maxBins=128, seed=params.seed,
-        )
-        return Pipeline(stages=[assembler, rf])
     raise KeyError(key)
 
 
-def fit(key: str, train: DataFrame, features: Sequence[str], params: ModelParams = ModelParams()) -> PipelineModel | BoostedTrees:
-    """M5: fit one model on a split (the label is cast to double for MLlib)."""
+def fit(key: str, train: DataFrame, features: Sequence[str], params: ModelParams = ModelParams(), row_key: Sequence[str] = ("index_name", "Date")) -> Model:
+    """M5: fit one model on a split (the label is cast to double for MLlib); ``row_key`` tells rows apart in bootstrap samples."""
+    if key == "random_forest":
+        return fit_forest(train, features, LABEL, row_key, ForestParams(trees=params.num_trees, seed=params.seed))
     if key == "hist_gradient_boosting":
         rows = train.select(*features, LABEL)
         return fit_boosting(rows, features, LABEL, BoostParams(rounds=params.boosting_rounds), max(1, -(-rows.count() // ROWS_PER_TASK)))
@@ -104,14 +102,14 @@ def positive_probability(out: DataFrame) -> DataFrame:
 def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """M6/M7: class-1 probability and hard prediction next to the kept columns."""
     out = model.transform(df)
-    if not isinstance(model, BoostedTrees):
+    if isinstance(model, PipelineModel):
         out = positive_probability(out)
     return out.select(*keep, "p_up", F.col("prediction").cast("int").alias("y_pred"))
 
 
-def save(model: PipelineModel | BoostedTrees, path: str) -> str:
+def save(model: Model, path: str) -> str:
     """Persist a fitted model."""
-    if isinstance(model, BoostedTrees):
+    if not isinstance(model, PipelineModel):
         return model.save(SparkSession.active(), path)
     model.write().overwrite().save(path)
     return path
@@ -122,11 +120,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def load(path: str) -> PipelineModel | BoostedTrees:
+def load(path: str) -> Model:
     """A saved model; raises ``FileNotFoundError`` when nothing is saved at ``path``."""
     spark = SparkSession.active()
     if not _exists(spark, path):
         raise FileNotFoundError(f"no saved model at {path}; train and save it first")
+    if _exists(spark, f"{path}/nodes"):
+        return Forest.load(spark, path)
     return BoostedTrees.load(spark, path) if _exists(spark, f"{path}/splits") else PipelineModel.load(path)
 
 

@@ -351,3 +351,21 @@ def auc_sql(source: str, keys: str, score: str) -> str:
     FROM (SELECT {keys}, CAST({score} AS DOUBLE) AS s, sum(y_true) AS pos, sum(1 - y_true) AS neg
           FROM {source} WHERE {score} IS NOT NULL GROUP BY {keys}, s))
   GROUP BY {keys})"""
+
+
+# ------------------------------------------------------------------ hashes ---
+CRC_CTE = """crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS remainder)"""
+
+
+def crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII expression, with ``crc`` in scope."""
+    chars = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce({chars}, lambda c, b: xor(crc.remainder[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+
+
+def mixed_sql(value: str, number: str) -> str:
+    """The forest's 32-bit hash of a number and another one."""
+    first = f"CAST((CAST(xor({value}, CAST((CAST({number} AS HUGEINT) * 2654435761) % 4294967296 AS BIGINT)) AS HUGEINT) * 2246822519) % 4294967296 AS BIGINT)"
+    second = f"(SELECT CAST((CAST(xor(a, a >> 15) AS HUGEINT) * 3266489917) % 4294967296 AS BIGINT) FROM (SELECT {first} AS a))"
+    return f"(SELECT xor(b, b >> 16) FROM (SELECT {second} AS b))"
