@@ -1,4 +1,4 @@
-"""Registered boosting jobs with the whole training restated in SQL (third part of the catalog)."""
+"""Registered model jobs with the training restated or checked in SQL (third part of the catalog)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from ledgerline import oracle as O
 from ledgerline.catalog import CLASS_METRICS, r6, register
 from ledgerline.operators import classification as CL
 from ledgerline.operators import forest as FO
+from ledgerline.operators import logistic as LG
 from ledgerline.operators import ml as ML
 from ledgerline.operators import trees as TR
 from ledgerline.session import ensure_checkpoint_dir
@@ -134,31 +135,135 @@ def q_boosted_tree_scores(spark, sf_dir):
 _EVAL = "split IN ('validation', 'test')"
 
 
-@register(
-    "boosted_tree_report",
-    boosted_sql(
-        f""",
-seen AS (SELECT 'train' AS stage, * FROM {_scored("train", _EVAL)} UNION ALL SELECT 'final' AS stage, * FROM {_scored("final", "split = 'test'")}),
+def _report_sql(train: str, final: str) -> str:
+    """Metrics and area by stage and split, of rows (split, y_true, y_pred, p_up) scored by the models of both stages."""
+    return f""",
+seen AS (SELECT 'train' AS stage, * FROM {train} UNION ALL SELECT 'final' AS stage, * FROM {final}),
 metrics AS ({O.class_metrics_sql(O.counts_sql("seen", "stage, split"), "stage, split")}),
 areas AS (SELECT * FROM {O.auc_sql("seen", "stage, split", "p_up")})
 SELECT m.stage, m.split, {", ".join("m." + c for c in CLASS_METRICS)}, round(a.roc_auc, 6) AS roc_auc
-FROM metrics m JOIN areas a ON a.stage = m.stage AND a.split = m.split""",
-        "train", "final",
-    ),
-)
-def q_boosted_tree_report(spark, sf_dir):
-    """Fit on train and report validation and test; refit on train + validation, save, load and report test; written and read back."""
+FROM metrics m JOIN areas a ON a.stage = m.stage AND a.split = m.split"""
+
+
+def _report(spark, sf_dir: str, saved, name: str):
+    """The report of the models saved by ``saved(spark, sf_dir, stage)``, written below ``name`` and read back."""
     parts = None
     for stage, splits in (("train", ("validation", "test")), ("final", ("test",))):
         rows = _rows(spark, sf_dir).where(F.col("split").isin(list(splits)))
-        scored = ML.score(ML.load(saved_model(spark, sf_dir, stage)), rows, ["split", "target"]).withColumns({"stage": F.lit(stage), "p_up": F.round("p_up", 9)})
+        scored = ML.score(ML.load(saved(spark, sf_dir, stage)), rows, ["split", "target"]).withColumns({"stage": F.lit(stage), "p_up": F.round("p_up", 9)})
         parts = scored if parts is None else parts.unionByName(scored)
     out = CL.classification_report(parts, ["stage", "split"], "target", "y_pred", "p_up").select("stage", "split", *r6(*CLASS_METRICS, "roc_auc"))
     ensure_checkpoint_dir(spark)
-    path = SK.write_table(out, C.results_dir(spark, sf_dir, "boosted_report"), "csv", order_by=["stage", "split"])
+    path = SK.write_table(out, C.results_dir(spark, sf_dir, name), "csv", order_by=["stage", "split"])
     return SK.read_result(spark, path, out.schema, "csv")
 
 
+@register(
+    "boosted_tree_report",
+    boosted_sql(_report_sql(_scored("train", _EVAL), _scored("final", "split = 'test'")), "train", "final"),
+)
+def q_boosted_tree_report(spark, sf_dir):
+    """Fit on train and report validation and test; refit on train + validation, save, load and report test; written and read back."""
+    return _report(spark, sf_dir, saved_model, "boosted_report")
+
+
+# ----------------------------------------------------------------- logistic ---
+_ALL = [*O.MODEL_FEATURES, *O.DUMMIES]
+
+
+@register(
+    "logistic_optimum",
+    O.with_prepared(
+        "SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale, CAST(0 AS DOUBLE) AS gradient FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg({c}) AS mean, CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1 END AS scale FROM dataset WHERE split = 'train'" for c in _ALL)
+        + " UNION ALL SELECT 'intercept', CAST(0 AS DOUBLE), CAST(1 AS DOUBLE))"
+    ),
+)
+def q_logistic_optimum(spark, sf_dir):
+    """M1: mean and scale of every feature and the penalised gradient at the saved model, by an aggregate that shares nothing with the solver."""
+    model = ML.load(C.trained(spark, sf_dir, "log_reg", "train"))
+    train = C.modeling_dataset(spark, sf_dir).where("split = 'train'")
+    places = model.table(spark).select(F.coalesce("name", F.lit("intercept")).alias("feature"), "mean", "scale")  # one row a feature
+    out = LG.gradient(model, train, "target").join(F.broadcast(places), "feature")
+    return out.select("feature", *r6("mean", "scale"), (F.round("gradient", 6) + F.lit(0.0)).alias("gradient"))
+
+
+LOGISTIC_FEATURES = ["return_5d", "drawdown_60d"]
+LOGISTIC_STEPS = 12  # of the SQL; the solver ends by its tolerance
+
+
+def saved_logistic(spark, sf_dir: str, stage: str) -> str:
+    """Path of the two-feature regression fitted on the splits of ``stage``; fitted and saved once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, "logistic", stage)
+    if key not in MODELS:
+        rows = _rows(spark, sf_dir).where(F.col("split").isin(list(STAGES[stage])))
+        MODELS[key] = ML.save(LG.fit_logistic(rows, LOGISTIC_FEATURES, "target"), f"{C.model_root(spark, sf_dir)}/logistic-{stage}")
+    return MODELS[key]
+
+
+def _newton_sql(stage: str) -> str:
+    """CTEs of the Newton steps on the splits of ``stage``; the 3 x 3 systems are solved by determinants."""
+    fit = "split IN (" + ", ".join(f"'{s}'" for s in STAGES[stage]) + ")"
+    a, b = LOGISTIC_FEATURES
+    out = [f"""
+base_{stage} AS MATERIALIZED (
+  SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb, count(*) AS n, sum(target) AS up
+  FROM (SELECT round({a}, {DIGITS}) AS a, round({b}, {DIGITS}) AS b, target FROM dataset WHERE {fit})),
+std_{stage} AS MATERIALIZED (
+  SELECT d.split, d.target AS y, (round({a}, {DIGITS}) - ma) / sa AS u, (round({b}, {DIGITS}) - mb) / sb AS v,
+    CASE WHEN target = 1 THEN n / (2.0 * up) ELSE n / (2.0 * (n - up)) END AS w FROM dataset d, base_{stage}),
+step_{stage}_0 AS (SELECT CAST(0 AS DOUBLE) AS ta, CAST(0 AS DOUBLE) AS tb, CAST(0 AS DOUBLE) AS tc)"""]
+    det = lambda m: "({0} * ({4} * {8} - {5} * {7}) - {1} * ({3} * {8} - {5} * {6}) + {2} * ({3} * {7} - {4} * {6}))".format(*m)
+    gram = ["haa", "hab", "hac", "hab", "hbb", "hbc", "hac", "hbc", "hcc"]
+
+    def swapped(col: int) -> str:
+        return det([("ga", "gb", "gc")[i // 3] if i % 3 == col else x for i, x in enumerate(gram)])
+
+    for k in range(LOGISTIC_STEPS):
+        out.append(f"""
+step_{stage}_{k + 1} AS MATERIALIZED (
+  SELECT {", ".join(f"t{c} - {swapped(i)} / {det(gram)} AS t{c}" for i, c in enumerate("abc"))}
+  FROM (
+    SELECT ta, tb, tc, sum(e * u) + ta AS ga, sum(e * v) + tb AS gb, sum(e) AS gc, sum(h * u * u) + 1 AS haa, sum(h * u * v) AS hab, sum(h * u) AS hac,
+      sum(h * v * v) + 1 AS hbb, sum(h * v) AS hbc, sum(h) AS hcc
+    FROM (SELECT *, w * (p - y) AS e, w * p * (1 - p) AS h FROM (
+      SELECT *, 1 / (1 + exp(-(ta * u + tb * v + tc))) AS p FROM std_{stage}, step_{stage}_{k} WHERE {fit}))
+    GROUP BY ta, tb, tc))""")
+    return ",".join(out)
+
+
+def logistic_sql(body: str) -> str:
+    return O.with_prepared("," + ",".join(_newton_sql(s) for s in STAGES) + body).replace("\n,\nbase_train", ",\nbase_train")
+
+
+def _solution_sql(stage: str) -> str:
+    terms = zip(("a", "b", "c"), [*LOGISTIC_FEATURES, "intercept"])
+    return " UNION ALL ".join(f"SELECT '{stage}' AS model, '{name}' AS feature, round(t{c}, 6) AS coefficient FROM step_{stage}_{LOGISTIC_STEPS}" for c, name in terms)
+
+
+@register("logistic_coefficients", logistic_sql("\n" + " UNION ALL ".join(_solution_sql(s) for s in STAGES)))
+def q_logistic_coefficients(spark, sf_dir):
+    """The coefficients of both two-feature regressions, read back from their saved tables."""
+    out = None
+    for stage in STAGES:
+        rows = ML.load(saved_logistic(spark, sf_dir, stage)).table(spark).withColumn("model", F.lit(stage))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("model", F.coalesce("name", F.lit("intercept")).alias("feature"), *r6("coefficient"))
+
+
+def _logistic_scored(stage: str, where: str) -> str:
+    return (
+        "(SELECT split, y AS y_true, round(p, 9) AS p_up, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS y_pred "
+        f"FROM (SELECT *, 1 / (1 + exp(-(ta * u + tb * v + tc))) AS p FROM std_{stage}, step_{stage}_{LOGISTIC_STEPS}) WHERE {where})"
+    )
+
+
+@register("logistic_report", logistic_sql(_report_sql(_logistic_scored("train", _EVAL), _logistic_scored("final", "split = 'test'"))))
+def q_logistic_report(spark, sf_dir):
+    """M8, M9, S6, S7 with M1: fit on train and report validation and test; refit on train + validation, save, load and report test."""
+    return _report(spark, sf_dir, saved_logistic, "logistic_report")
+
+
 # ------------------------------------------------------------------- forest ---
 SAMPLES = 6
 

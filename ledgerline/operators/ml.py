@@ -1,9 +1,7 @@
-"""Spark ML jobs (M1-M10): fit, score, evaluate, save and load classifiers.
+"""Model jobs (M1-M10): fit, score, evaluate, save and load classifiers.
 
-The estimators play the reference's roles with MLlib equivalents:
-
-* ``log_reg``: standardise + logistic regression with balanced class weights
-  (L2, ``regParam = 1 / n`` for sklearn's ``C = 1`` on a weight sum of n),
+* ``log_reg``: the regression of ``operators/logistic.py``: standardised features, balanced class weights, L2 of 1 on the
+  coefficients, solved by Newton steps,
 * ``random_forest``: the forest of ``operators/forest.py``: leaves of at least 20 rows, sqrt features, balanced bootstrap samples,
 * ``hist_gradient_boosting``: the trees of ``operators/trees.py``: best leaf first to
   15 leaves of at least 20 rows, learning rate 0.04, L2 0.2, 255 bins.
@@ -16,9 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.labels import MODEL_LABELS
 from ledgerline.operators.classification import minmax_scores
 from ledgerline.operators.forest import Forest, ForestParams, fit_forest
+from ledgerline.operators.logistic import Logistic, fit_logistic
 from ledgerline.operators.trees import BoostedTrees, BoostParams, fit_boosting
 
 LABEL = "target"
@@ -41,8 +38,8 @@ class ModelParams:
     seed: int = 42
 
 
-#: A fitted model: each kind has ``transform``.
-Model = PipelineModel | BoostedTrees | Forest
+#: A fitted model: each kind has ``transform``; saved Spark ML pipelines can be loaded and scored, too.
+Model = PipelineModel | Logistic | BoostedTrees | Forest
 
 ROWS_PER_TASK = 50_000  # training rows of one task; every boosting round is a few jobs over all tasks
 
@@ -58,32 +55,16 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     return df.withColumn(WEIGHT, weight if weight is not None else F.lit(1.0))
 
 
-def build_pipeline(key: str, features: Sequence[str], n_rows: int, params: ModelParams) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    if key == "log_reg":
-        scaler = StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)
-        lr = LogisticRegression(
-            featuresCol="_scaled", labelCol=LABEL, weightCol=WEIGHT, maxIter=params.max_iter,
-            regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, standardization=False,
-        )
-        return Pipeline(stages=[assembler, scaler, lr])
-    raise KeyError(key)
-
-
 def fit(key: str, train: DataFrame, features: Sequence[str], params: ModelParams = ModelParams(), row_key: Sequence[str] = ("index_name", "Date")) -> Model:
-    """M5: fit one model on a split (the label is cast to double for MLlib); ``row_key`` tells rows apart in bootstrap samples."""
+    """M5: fit one model on a split; ``row_key`` tells rows apart in bootstrap samples."""
     if key == "random_forest":
         return fit_forest(train, features, LABEL, row_key, ForestParams(trees=params.num_trees, seed=params.seed))
     if key == "hist_gradient_boosting":
         rows = train.select(*features, LABEL)
         return fit_boosting(rows, features, LABEL, BoostParams(rounds=params.boosting_rounds), max(1, -(-rows.count() // ROWS_PER_TASK)))
-    data = with_class_weights(train.select(*features, F.col(LABEL).cast("double").alias(LABEL)))
-    n = data.count()
-    data = data.repartition(max(1, -(-n // ROWS_PER_TASK))).persist()
-    try:
-        return build_pipeline(key, features, n, params).fit(data)
-    finally:
-        data.unpersist()
+    if key == "log_reg":
+        return fit_logistic(train, features, LABEL, params.max_iter, rows_per_task=ROWS_PER_TASK)
+    raise KeyError(key)
 
 
 def positive_probability(out: DataFrame) -> DataFrame:
@@ -125,9 +106,10 @@ def load(path: str) -> Model:
     spark = SparkSession.active()
     if not _exists(spark, path):
         raise FileNotFoundError(f"no saved model at {path}; train and save it first")
-    if _exists(spark, f"{path}/nodes"):
-        return Forest.load(spark, path)
-    return BoostedTrees.load(spark, path) if _exists(spark, f"{path}/splits") else PipelineModel.load(path)
+    for kind, part in ((Forest, "nodes"), (Logistic, "coefficients"), (BoostedTrees, "splits")):
+        if _exists(spark, f"{path}/{part}"):
+            return kind.load(spark, path)
+    return PipelineModel.load(path)
 
 
 def model_name(key: str) -> str:
