@@ -86,7 +86,7 @@ def roc_auc(df: DataFrame, keys: Sequence[str], y_true: str, score: str, range_r
         F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg")
     )
     g = S.keep(g)
-    n = max(1, -(-g.count() // range_rows))
+    n = S.range_count(df.sparkSession, g.count(), range_rows)
     tagged = S.keep(g.repartitionByRange(n, *keys, "_s").withColumn("_b", F.spark_partition_id()))
     per_range = tagged.groupBy(*keys, "_b").agg(F.sum("_neg").alias("_bneg"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

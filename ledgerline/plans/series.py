@@ -28,7 +28,7 @@ import math
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ORD = "_t"  # 0-based position of a row inside its entity, in time order
@@ -38,6 +38,8 @@ OWN = "_own"  # false for halo copies of rows that belong to a neighbouring bloc
 DEFAULT_BLOCK_ROWS = 256
 # Rows that one task numbers.
 RANGE_ROWS = 100_000
+# Ranges at most, unless the cluster has more than a quarter as many cores; larger ranges are sorted with spilling.
+MOST_RANGES = 10_000
 # Scan rounds between lineage cuts of the block-summary table.
 ROUNDS_PER_CHECKPOINT = 8
 # Up to this many summary rows per key the scan is one window with a bounded
@@ -154,6 +156,11 @@ def _fold_scan(
     return folded.select(*keys, pos, total.alias(value), *passthrough)
 
 
+def range_count(spark: SparkSession, rows: int, range_rows: int) -> int:
+    """Ranges of about ``range_rows`` rows, but no more than the cluster can use: tasks do not grow without bound with the rows."""
+    return max(1, min(-(-rows // range_rows), max(MOST_RANGES, 4 * spark.sparkContext.defaultParallelism)))
+
+
 def with_ordinal(
     df: DataFrame,
     keys: Sequence[str],
@@ -187,7 +194,7 @@ def with_ordinal_info(
     range_rows = range_rows or max(RANGE_ROWS, block_rows)
     # The input is usually an aggregate; keep it so that counting, sampling and numbering read it once.
     rows = keep(df)
-    n_ranges = max(1, -(-rows.count() // range_rows))
+    n_ranges = range_count(df.sparkSession, rows.count(), range_rows)
     if n_ranges == 1:
         ranged = rows.withColumn("_tb", F.lit(0))
     else:  # kept, because sampling anew could move the borders

@@ -152,3 +152,13 @@ def test_doubling_scan_with_lineage_cuts(spark, monkeypatch):
     want["cum"] = want.groupby("k")["v"].cumsum()
     m = out.merge(want, on=["k", "p"], suffixes=("", "_in"))
     assert len(m) == len(rows) and np.allclose(m["v"], m["cum"])
+
+
+def test_ranges_stop_growing_with_the_rows(spark, monkeypatch):
+    assert [S.range_count(spark, n, 100) for n in (0, 1, 100, 101)] == [1, 1, 1, 2]
+    assert S.range_count(spark, 10**12, 100_000) == S.MOST_RANGES
+    monkeypatch.setattr(S, "MOST_RANGES", 3)
+    df = spark.createDataFrame([(f"k{i % 5}", i) for i in range(2000)], "k string, t long")
+    few, longest = S.with_ordinal(df, ["k"], "t", range_rows=10)
+    assert longest == 400
+    assert few.where(F.col(S.ORD) != F.floor(F.col("t") / 5)).count() == 0
