@@ -11,6 +11,7 @@ from ledgerline import oracle as O
 from ledgerline.catalog import register
 from ledgerline.operators import backtest as BT
 from ledgerline.operators import features as FE
+from ledgerline.operators import levels as LV
 from ledgerline.operators import ml as ML
 from ledgerline.operators import prepare as PR
 from ledgerline.operators import quantiles as QT
@@ -95,6 +96,19 @@ def q_tied_medians(spark, sf_dir):
     return PR.exact_medians_frame(read_table(spark, sf_dir, "lineitem", TIED), TIED, ranked_values=4).select("feature", "median")
 
 
+@register(
+    "customer_indicators",
+    """WITH places AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS place, count(*) OVER () AS size FROM (SELECT DISTINCT o_custkey AS level FROM orders WHERE o_custkey IS NOT NULL))
+SELECT o.o_orderkey, CAST(p.size AS BIGINT) AS size, CAST(p.place AS BIGINT) AS place, CAST(1 AS DOUBLE) AS value
+FROM orders o JOIN places p ON o.o_custkey = p.level""",
+)
+def q_customer_indicators(spark, sf_dir):
+    """P10, many levels: the customer of every order as a sparse indicator vector."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    out = LV.with_indicators(orders, "o_custkey", S.keep(LV.level_table(orders, "o_custkey", range_rows=100_000)))
+    return out.where(F.size("indicators.indices") > 0).select("o_orderkey", "indicators.size", F.col("indicators.indices")[0].alias("place"), F.col("indicators.values")[0].alias("value"))
+
+
 SKETCHED = [*TIED, "l_extendedprice"]
 SKETCH_SIZE = 1024  # rank error 0.3 % at 99 % confidence
 SLACK = 4  # times that error: sketches are randomised
