@@ -111,3 +111,14 @@ def test_edge_tables(spark):
     assert p[None] == p[0.0] < 0.5 < p[1.0] == p[2.0]
     with pytest.raises(ValueError):
         TR.fit_boosting(odd, NAMES, "y", TR.BoostParams(bins=300))
+
+
+def test_small_rows_need_one_pass_for_many_rounds(spark, monkeypatch):
+    df = spark.createDataFrame(rows(300), "a double, b double, c double, target int")
+    want = TR.fit_boosting(df, NAMES, "target", PARAMS, partitions=3)
+    passes = []
+    listed = TR._listed
+    monkeypatch.setattr(TR, "_listed", lambda parts: passes.append(1) or listed(parts))
+    got = TR.fit_boosting(df, NAMES, "target", PARAMS, partitions=1)
+    assert got == want
+    assert len(passes) == -(-PARAMS.rounds // PARAMS.store_every)
