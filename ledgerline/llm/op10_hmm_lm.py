@@ -10,8 +10,9 @@ fixed, whatever the vocabulary's.
    (about ``CHUNK_BYTES`` of text); only chunk dictionaries, not tokens, are shuffled.
 2. ``word_counts``: exact counts of all training tokens; they are joined back to
    the chunk dictionaries, which then meet their texts again by chunk.
+   Training texts, as classes of two bytes a token, are shuffled once by length.
 3. ``baum_welch``: each pass runs the scaled forward-backward recursion over every
-   training text, one step for the t-th token of all texts of a task, and sums
+   training text, one step for the t-th token of texts of similar length, and sums
    expected counts across tasks.  The first model is the unigram shares with fixed noise; rounds go on
    until one raises the log10 likelihood of the training texts by less than ``GAIN`` a token.
 4. ``score``: the scaled forward recursion gives each text's exact log10 likelihood.
@@ -38,8 +39,10 @@ HEAD, TAIL, STATES = 8192, 1024, 8
 #: Log10 likelihood a training token below which a round's gain ends the training.
 GAIN = 1e-3
 CHUNK_BYTES = 16 << 20
-#: Tokens whose recursion runs together in a task.
-TOGETHER = 1_000_000
+#: Tokens of a task whose texts are put in order of length, and tokens whose recursion runs together.
+TOGETHER, PART = 4_000_000, 500_000
+#: Training tokens of a task, whose texts have similar lengths.
+SHARE = 2_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -234,42 +237,68 @@ class Model:
 def recursion(classes: np.ndarray, begin: np.ndarray, model: Model, backward: bool) -> tuple:
     """Log10 likelihood of every text by scaled recursion; with ``backward`` also expected counts.
 
-    Step t handles the t-th token of all texts that have one.
+    Texts of similar length run together, about ``PART`` tokens at a time, so that most steps are wide.
     """
+    states = len(model.start)
     size = np.diff(begin)
     order = np.argsort(-size, kind="stable")
-    heads, size = begin[:-1][order], size[order]
-    longest = int(size[0]) if len(size) else 0
+    ends = np.cumsum(size[order])
+    like = np.zeros(len(size))
+    started, moves, emitted = np.zeros(states), np.zeros((states, states)), np.zeros((states, model.emit.shape[1]))
+    at = 0
+    while at < len(order):
+        upto = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART, side="right")), at + 1)
+        texts = order[at:upto]
+        like[texts], *expected = _lockstep(classes, begin[texts], size[texts], model, backward)
+        if backward:
+            started, moves, emitted = started + expected[0], moves + expected[1], emitted + expected[2]
+        at = upto
+    return (like, started, moves, emitted) if backward else (like, None, None, None)
+
+
+def _lockstep(classes: np.ndarray, heads: np.ndarray, size: np.ndarray, model: Model, backward: bool) -> tuple:
+    """``recursion`` over texts given by their first token and size, the longest first.
+
+    Step t handles the t-th token of all texts that have one.  Tokens lie in the order of
+    steps, and each state has a row of its own: a step is a run of columns.
+    """
+    longest = int(size[0])
     active = np.searchsorted(-size, -np.arange(longest), side="left")
-    kind = np.float32 if backward else np.float64  # training keeps a row for every token
-    emit = np.ascontiguousarray(model.emit.T.astype(kind))
-    start, move, states = model.start.astype(kind), model.move.astype(kind), len(model.start)
-    scale = np.empty(len(classes), kind)
-    forward = np.empty((len(classes), states), kind) if backward else None
+    begin = np.concatenate([[0], np.cumsum(active)])
+    step = np.repeat(np.arange(longest), active)
+    text = np.arange(begin[-1]) - begin[step]
+    seen = classes[heads[text] + step].astype(np.int64)
+    begin, active = begin.tolist(), active.tolist()
+    kind = np.float32 if backward else np.float64  # training keeps a column for every token
+    emit, states = np.ascontiguousarray(model.emit, kind), len(model.start)
+    start, onward, back = model.start.astype(kind)[:, None], np.ascontiguousarray(model.move.T, kind), np.ascontiguousarray(model.move, kind)
+    forward = np.empty((states, len(seen)), kind) if backward else None
+    scale = np.empty(len(seen), kind)
     a = None
-    for t in range(longest):
-        at = heads[: active[t]] + t
-        a = start * emit[classes[at]] if t == 0 else (a[: active[t]] @ move) * emit[classes[at]]
-        total = a.sum(axis=1)
-        a /= total[:, None]
-        scale[at] = total
-        if backward:
-            forward[at] = a
-    logs = np.log10(scale.astype(np.float64))
-    like = np.add.reduceat(logs, begin[:-1]) if len(logs) else np.zeros(0)
+    for t, n in enumerate(active):
+        here = slice(begin[t], begin[t] + n)
+        now = emit.take(seen[here], axis=1)
+        now *= start if t == 0 else onward @ a[:, :n]
+        total = np.add.reduce(now, axis=0, out=scale[here])
+        a = np.divide(now, total, out=forward[:, here] if backward else now)
+    like = np.bincount(text, weights=np.log10(scale, dtype=np.float64), minlength=len(heads))
     if not backward:
         return like, None, None, None
-    later = np.ones((len(heads), states), kind)
+    np.divide(1, scale, out=scale)
+    later = np.ones((states, len(heads)), kind)
     moves = np.zeros((states, states))
     for t in range(longest - 2, -1, -1):
         n = active[t + 1]
-        at = heads[:n] + t
-        ahead = emit[classes[at + 1]] * later[:n] / scale[at + 1][:, None]
-        moves += forward[at].T @ ahead
-        later[:n] = ahead @ move.T
-        forward[at] *= later[:n]
-    emitted = np.stack([np.bincount(classes, weights=forward[:, s], minlength=model.emit.shape[1]) for s in range(states)])
-    return like, forward[heads].sum(axis=0, dtype=np.float64), moves * model.move, emitted
+        here = slice(begin[t + 1], begin[t + 1] + n)
+        ahead = emit.take(seen[here], axis=1)
+        ahead *= later[:, :n]
+        ahead *= scale[here]
+        own = forward[:, begin[t] : begin[t] + n]
+        moves += own @ ahead.T
+        np.matmul(back, ahead, out=later[:, :n])
+        own *= later[:, :n]
+    emitted = np.stack([np.bincount(seen, weights=row, minlength=emit.shape[1]) for row in forward])
+    return like, forward[:, : len(heads)].sum(axis=1, dtype=np.float64), moves * model.move, emitted
 
 
 def maximised(started: np.ndarray, moved: np.ndarray, emitted: np.ndarray, unigram: np.ndarray, prior: float = 50.0) -> Model:
@@ -283,7 +312,7 @@ def maximised(started: np.ndarray, moved: np.ndarray, emitted: np.ndarray, unigr
 
 def _joined(parts: list) -> tuple[np.ndarray, np.ndarray]:
     """Class arrays one after the other, and where each begins."""
-    return np.concatenate([np.frombuffer(p, "<u2") for p in parts]).astype(np.int64), np.concatenate([[0], np.cumsum([len(p) // 2 for p in parts])])
+    return np.concatenate([np.frombuffer(p, "<u2") for p in parts]), np.concatenate([[0], np.cumsum([len(p) // 2 for p in parts])])
 
 
 def first_model(unigram: np.ndarray, states: int = STATES) -> Model:
@@ -317,12 +346,28 @@ def _group(held: list, index: int):
     return (held, *_joined(parts))
 
 
+def by_length(train: DataFrame, tokens: int) -> DataFrame:
+    """Stored classes of ``train`` in partitions of about ``SHARE`` tokens, each of texts of similar length.
+
+    Tokens are counted by length, sixteen grades to a doubling; the driver receives a row a grade.
+    """
+    train = train.withColumn("grade", F.floor(F.log2("n_tokens") * 16))
+    sizes = train.groupBy("grade").agg(F.sum("n_tokens").alias("n")).orderBy("grade").collect()
+    count = max(1, -(-tokens // SHARE))
+    before = np.cumsum([0, *(r["n"] for r in sizes)]).tolist()
+    places = train.sparkSession.createDataFrame([(r["grade"], b, r["n"]) for r, b in zip(sizes, before)], "grade long, before long, n long")
+    spread = F.xxhash64("doc_id", "classes")
+    part = F.floor((F.col("before") + F.col("n") * (F.pmod(spread, F.lit(1 << 20)) / F.lit(float(1 << 20)))) * F.lit(count) / F.lit(max(before[-1], 1)))
+    rows = train.join(F.broadcast(places), "grade").select(F.least(part, F.lit(count - 1)).cast("int").alias("part"), "n_tokens", spread.alias("spread"), "classes")
+    return stored(rows.repartitionById(count, "part").sortWithinPartitions("n_tokens", "spread").select("classes"), "training-texts", None, "zstd")
+
+
 def baum_welch(texts: DataFrame, model: Model, unigram: np.ndarray, tokens: int, gain: float = GAIN) -> tuple[Model, list[float]]:
     """Rounds over all training texts until the likelihood rises by less than ``gain`` a token, and the likelihood a token before each.
 
     Expected counts are summed across tasks.
     """
-    train = texts.where(~F.col("held_out")).select("classes")
+    train = by_length(texts.where(~F.col("held_out")), tokens)
     states = len(model.start)
     names = [f"s{i}" for i in range(states)]
     likes: list[float] = []

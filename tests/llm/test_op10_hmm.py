@@ -103,3 +103,36 @@ def test_nothing_to_learn_and_empty(spark):
     got = op.language_model(docs).collect()
     assert len(got) == len(awkward()) and all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in got)
     assert op.language_model(docs.limit(0)).count() == 0
+
+
+def test_short_texts_do_not_wait_for_a_long_one(monkeypatch):
+    rng = np.random.default_rng(6)
+    model = random_model(rng, 3, 20)
+    size = [5, 400, 7, 6, 8, 3, 9, 300, 6, 5]
+    classes, begin = rng.integers(0, 20, sum(size)).astype("<u2"), np.cumsum([0, *size])
+    alone = [op.recursion(classes[a:b], np.array([0, b - a]), model, True) for a, b in zip(begin, begin[1:])]
+    runs = []
+    lockstep = op._lockstep
+    monkeypatch.setattr(op, "_lockstep", lambda classes, heads, size, *rest: runs.append(size.tolist()) or lockstep(classes, heads, size, *rest))
+    monkeypatch.setattr(op, "PART", 40)
+    like, *counts = op.recursion(classes, begin, model, True)
+    assert runs[:2] == [[400], [300]] and sorted(sum(runs, [])) == sorted(size) and max(map(sum, runs[2:])) <= 40
+    assert np.allclose(like, [a[0][0] for a in alone], atol=1e-4)
+    for k in range(3):
+        assert np.allclose(counts[k], sum(a[k + 1] for a in alone), atol=1e-3)
+
+
+def test_training_texts_lie_by_length(spark, monkeypatch):
+    monkeypatch.setattr(op, "SHARE", 500)
+    size = [1 + i % 40 for i in range(200)] + [900]
+    data = [(i, n, bytes([i % 256, 0] * n)) for i, n in enumerate(size)] + [(None, 1, b"\x07\x00"), (None, 1, b"\x07\x00")]
+    df = spark.createDataFrame(data, "doc_id long, n_tokens long, classes binary")
+    out = op.by_length(df, sum(r[1] for r in data)).withColumn("file", F.input_file_name()).collect()
+    assert sorted(bytes(r["classes"]) for r in out) == sorted(r[2] for r in data)
+    parts = collections.defaultdict(list)
+    for r in out:
+        parts[r["file"]].append(len(r["classes"]) // 2)
+    assert len(parts) > 4 and max(sum(n for n in p if n < 900) for p in parts.values()) < 1000
+    short = [p for p in parts.values() if max(p) < 900]
+    assert all(max(p) <= 2 * min(p) + 8 or max(p) <= 20 for p in short)
+    assert op.by_length(df.limit(0), 0).count() == 0
